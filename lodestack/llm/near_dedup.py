@@ -18,8 +18,10 @@ from .weighted import BATCH_BYTES, Sampler, Weights, learn_weights, shingle_sets
 WIDTH, SIMILARITY = 5, 0.8
 #: samples a document; bands of so many samples each (a sample serves in several bands)
 SAMPLES, BANDS, BAND_SIZE = 48, 32, 6
-#: pairs met in a band go on if so many samples agree: at similarity 0.8 fewer do in about one of a million pairs
-AGREE = 24
+#: what is left is held pair by pair against more samples (16 bits of each): at similarity 0.8 fewer than AGREE of WIDE agree in about one of a million pairs
+WIDE, AGREE = 512, 366
+#: rounds of comparing buckets with one member each, before what is left is compared pairwise; shingles remembered by a verifying task
+STAR_ROUNDS, MEMORY = 6, 1 << 20
 
 
 def band_members(samples: int = SAMPLES, bands: int = BANDS, size: int = BAND_SIZE) -> np.ndarray:
@@ -67,19 +69,23 @@ def verify(pairs: DataFrame, texts: DataFrame, weights: Weights, width: int = WI
     shared = pairs.sparkSession.sparkContext.broadcast(weights)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weigh, last, known = shared.value, None, None
-
-        def weighted(text: str) -> tuple[np.ndarray, np.ndarray]:
-            raw = np.frombuffer(text.encode(), np.uint8)
-            h, tf = shingle_sets(raw, np.array([0, len(raw)]), width)[0]
-            return h, weigh(h, tf)
+        weigh, known, held = shared.value, {}, 0
+
+        def weighted(node: int, text: str) -> tuple[np.ndarray, np.ndarray]:
+            nonlocal held
+            if node not in known:
+                if held > MEMORY:  # a text met again is then weighed again
+                    known.clear()
+                    held = 0
+                raw = np.frombuffer(text.encode(), np.uint8)
+                h, tf = shingle_sets(raw, np.array([0, len(raw)]), width)[0]
+                known[node] = h, weigh(h, tf)
+                held += len(h)
+            return known[node]
 
         for batch in it:
-            keep = []
-            for b, one, two in zip(*(batch.column(c).to_pylist() for c in ("b", "text_a", "text_b")), strict=True):
-                if b != last:
-                    last, known = b, weighted(two)
-                keep.append(weighted_jaccard(weighted(one), known) >= least)
+            cols = (batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
+            keep = [weighted_jaccard(weighted(a, one), weighted(b, two)) >= least for a, b, one, two in zip(*cols, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     one, two = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b"))
@@ -92,8 +98,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, least: float = SIMILARI
     Documents are linked if their texts are equal but for case or their weighted shingle sets (words of letters and digits, in
     lower case) have similarity `least` or more; classes are the connected components. Copies stand in for each other:
     one document of each distinct text is sampled into bands. In each band's bucket all are first compared with its
-    smallest member; whatever a bucket then still holds of several classes is compared pairwise across those classes,
-    so no link among documents that share a bucket is lost and no pair within a class is made.
+    smallest member; buckets that still hold several classes are compared with another member, while that links
+    classes; and what they hold of several classes in the end is compared pairwise across those classes. So no link
+    among documents that share a bucket is lost, and no pair within a class is made.
 
     Rows with a null doc_id or null text link with nothing: class_id = doc_id, kept = true. Texts without a word
     link with equal texts only; texts of fewer words than `width` have one shingle of all their words. Repeated rows
@@ -112,11 +119,15 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, least: float = SIMILARI
 
     stars = members.filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
     links = cut(verify(stars, texts, weights, width, least), "links")
-    classes = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    rest = across_classes(members, classes, nodes, least)
-    more = cut(verify(rest, texts, weights, width, least), "links")
-    every = links.unionByName(more).select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    classes = cut(components(every) if not more.isEmpty() else classes, "classes")
+    classes = cut(components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "classes")
+    for round_ in range(1, STAR_ROUNDS):
+        more = cut(verify(other_stars(members, classes, round_), texts, weights, width, least), "links")
+        if more.isEmpty():
+            break
+        classes = merge_classes(classes, more)
+    more = cut(verify(across_classes(members, classes, nodes, texts, weights, width, least), texts, weights, width, least), "links")
+    if not more.isEmpty():
+        classes = merge_classes(classes, more)
 
     by_text = copies.join(classes, "node", "left").select("digest", "node", F.coalesce("component", "node").alias("class_id"))
     by_text = cut(by_text, "by_text")
@@ -126,20 +137,59 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, least: float = SIMILARI
     return found.unionByName(alone).select("doc_id", "class_id", "kept", "exact_id")
 
 
-def across_classes(members: DataFrame, classes: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) that share a bucket but not a class, were not compared yet, and could be similar: their masses are within `least` and enough samples agree."""
-    classes = cut(classes, "classes")
+def merge_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after more links (a, b), which only tie classes together."""
+    a, b = (classes.select(F.col("node").alias(c), F.col("component").alias(f"class_{c}")) for c in ("a", "b"))
+    ties = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("class_a", "a").alias("src"), F.coalesce("class_b", "b").alias("dst"))
+    joined = cut(components(ties).select(F.col("node").alias("component"), F.col("component").alias("new")), "joined")
+    fresh = joined.join(classes.select("component").distinct(), "component", "left_anti").select(F.col("component").alias("node"), "new")
+    moved = classes.join(joined, "component", "left").select("node", F.coalesce("new", "component").alias("new"))
+    return cut(moved.unionByName(fresh).select("node", F.col("new").alias("component")), "classes")
+
+
+def open_buckets(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(bucket, node, first, class) of the buckets that hold more than one class."""
     placed = members.join(classes, "node", "left").select("bucket", "node", "first", F.coalesce("component", "node").alias("class"))
     placed = cut(placed, "placed")
     mixed = placed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select("bucket")
-    open_ = placed.join(cut(mixed, "mixed"), "bucket", "left_semi")
-    open_ = cut(open_.join(nodes.select("node", "mass", "samples"), "node"), "open")
-    a, b = (open_.select(*[F.col(c).alias(f"{c}_{x}") for c in ("bucket", "node", "first", "class", "mass", "samples")]) for x in ("a", "b"))
-    agree = F.size(F.filter(F.zip_with("samples_a", "samples_b", lambda x, y: x == y), lambda same: same))
+    return cut(placed.join(cut(mixed, "mixed"), "bucket", "left_semi"), "open")
+
+
+def other_stars(members: DataFrame, classes: DataFrame, round_: int) -> DataFrame:
+    """Pairs (a, b): in each open bucket, b is one member (another one each round) and a those of other classes."""
+    open_ = open_buckets(members, classes)
+    centre = open_.groupBy("bucket").agg(F.min(F.struct(F.xxhash64(F.lit(round_), "node").alias("h"), F.col("node").alias("b"), F.col("class").alias("class_b"))).alias("c"))
+    return open_.join(cut(centre.select("bucket", "c.b", "c.class_b"), "centres"), "bucket").filter("class <> class_b").select(F.col("node").alias("a"), "b").distinct()
+
+
+def wide_samples(texts: DataFrame, weights: Weights, width: int) -> DataFrame:
+    """(node, wide): WIDE samples of each text, 16 bits of each."""
+    shared = texts.sparkSession.sparkContext.broadcast(weights)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler(WIDE)
+        for batch in batches(it, BATCH_BYTES):
+            samples = sampler([(h, shared.value(h, tf)) for h, tf in shingle_sets(*text_buffer(batch.column("text")), width)])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(samples.astype(np.uint16).view(np.int16)), pa.list_(pa.int16()))], ["node", "wide"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "node long, wide array<short>")
+
+
+def across_classes(members: DataFrame, classes: DataFrame, nodes: DataFrame, texts: DataFrame, weights: Weights, width: int, least: float) -> DataFrame:
+    """Pairs (a, b) that share a bucket but not a class and could be similar: their masses are within `least` and enough
+    wide samples agree. A pair is made in the first bucket that it shares."""
+    open_ = open_buckets(members, classes)
+    asked = open_.select(F.col("node").alias("doc_id")).distinct()
+    wide = cut(wide_samples(texts.join(asked, "doc_id", "left_semi"), weights, width), "wide")
+    open_ = open_.select("bucket", "node", "class").join(nodes.select("node", "mass", "bands").join(wide, "node"), "node")
+    open_ = cut(open_, "open")
+    a, b = (open_.select(*[F.col(c).alias(f"{c}_{x}") for c in ("bucket", "node", "class", "mass", "bands", "wide")]) for x in ("a", "b"))
+    same = lambda one, two: F.zip_with(one, two, lambda x, y: x == y)
+    first = F.array_position(same("bands_a", "bands_b"), True) == F.array_position("bands_a", F.col("bucket_a"))
     fits = (F.col("bucket_a") == F.col("bucket_b")) & (F.col("node_a") < F.col("node_b")) & (F.col("class_a") != F.col("class_b"))
-    fits &= F.col("node_a") != F.col("first_a")  # the smallest member was compared with all
-    fits &= (F.least("mass_a", "mass_b") >= least * F.greatest("mass_a", "mass_b") - 1e-6) & (agree >= AGREE)
-    return a.join(b, fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    fits &= (F.least("mass_a", "mass_b") >= least * F.greatest("mass_a", "mass_b") - 1e-6) & first
+    fits &= F.size(F.filter(same("wide_a", "wide_b"), lambda hit: hit)) >= AGREE
+    return a.join(b, fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
