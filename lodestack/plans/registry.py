@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from .reference import ORACLE_SQL, QUERIES, flagship
 
-
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+__all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
