@@ -38,7 +38,7 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("secrets", secrets), ("bpe", bpe)]
 
-#: a trained classifier and a tokenizer are not SQL; tests/llm/test_pipeline.py holds the stages against a plain version
+#: a trained classifier and a tokenizer are not SQL; tests/llm holds the operators of the stages against plain versions, one by one
 ORACLE_SQL = None
 
 
