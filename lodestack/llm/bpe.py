@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import tempfile
 from collections.abc import Iterator
 from functools import lru_cache
@@ -48,6 +49,10 @@ class ByteBPE:
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[(vocab[left], vocab[right])] = (rank, vocab[left + right])
+        self.letter = np.array(self.single, np.int64)
+        self.size = 1 + max(vocab.values())
+        pairs = sorted((a * self.size + b, *to) for (a, b), to in self.merges.items())
+        self.pairs, self.ranks, self.made = (np.array(c, np.int64) for c in zip(*pairs, strict=True))
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.bytes_of = {i: bytes(letters[c] for c in token) for token, i in vocab.items() if all(c in letters for c in token)}
         self.bytes_of |= {i: c.encode() for c, i in self.special.items()}
@@ -83,8 +88,42 @@ class ByteBPE:
                     heapq.heappush(heap, (*merges[p], a, p))
         return [i for i, on in zip(ids, alive, strict=True) if on]
 
-    def word(self, word: bytes) -> list[int]:
-        return self.merge(word) if len(word) <= 64 else self.merge_long(word)
+    def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The place of each pair in the sorted merge table, or -1."""
+        key = left * self.size + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, at, -1)
+
+    def merge_all(self, words: list[bytes]) -> list:
+        """The ids of each word. Each round makes one merge, the lowest-ranked and leftmost, in every short word at once."""
+        out: list = [self.merge_long(w) if len(w) > 64 else [] for w in words]
+        word = np.array([k for k, w in enumerate(words) if 0 < len(w) <= 64], np.int64)
+        if not len(word):
+            return out
+        ids = self.letter[np.frombuffer(b"".join(words[k] for k in word.tolist()), np.uint8)]
+        size, none = np.array([len(words[k]) for k in word.tolist()]), 1 << 62
+        found = np.r_[self._find(ids[:-1], ids[1:]), -1]
+        found[np.cumsum(size) - 1] = -1  # no pair crosses words
+        while len(word):
+            starts = np.cumsum(size) - size
+            least = np.minimum.reduceat(np.where(found >= 0, (self.ranks[found] << 32) + np.arange(len(ids)), none), starts)
+            ready = least == none
+            if ready.any():
+                done = np.repeat(ready, size)
+                own, ends = ids[done], np.cumsum(size[ready]).tolist()
+                for k, a, b in zip(word[ready].tolist(), [0, *ends], ends):  # noqa: B905
+                    out[k] = own[a:b]
+            at = least[~ready] & 0xFFFFFFFF
+            ids[at] = self.made[found[at]]
+            last = at + 2 == (starts + size)[~ready]  # the merged pair ends its word
+            after = np.minimum(at + 2, len(ids) - 1)
+            found[at] = np.where(last, -1, self._find(ids[at], ids[after]))
+            inner = at[at > starts[~ready]]
+            found[inner - 1] = self._find(ids[inner - 1], ids[inner])
+            keep = np.repeat(~ready, size)
+            keep[at + 1] = False
+            ids, found, word, size = ids[keep], found[keep], word[~ready], size[~ready] - 1
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """Unknown ids add nothing; bytes that aren't UTF-8 become U+FFFD."""
@@ -125,7 +164,8 @@ def word_counts(docs: DataFrame, kinds, special: dict[str, int]) -> DataFrame:
 def build_lexicon(docs: DataFrame, bpe: ByteBPE, kinds, size: int) -> bytes:
     """The `size` most frequent words (ties: the smaller word first), compiled. The driver holds no more than these."""
     top = word_counts(docs, kinds, bpe.special).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
-    return compile_words({bytes(r[0]): bpe.word(bytes(r[0])) for r in top})
+    words = [bytes(r[0]) for r in top]
+    return compile_words({w: list(map(int, ids)) for w, ids in zip(words, bpe.merge_all(words), strict=True)})
 
 
 @lru_cache(2)
@@ -136,13 +176,14 @@ def _encoder(key: str, parts) -> tuple[Encoder, list[bytes]]:
     with tempfile.NamedTemporaryFile("wb", suffix=".fst", delete=False) as f:
         f.write(lexicon)
     known = Transducer(f.name)
+    os.unlink(f.name)  # the map stays
 
     def encode(words: list[str]) -> list:
-        out = []
-        for w in words:
-            raw = w.encode()
-            ids = known.get(raw)
-            out.append(bpe.word(raw) if ids is None else ids)
+        raw = [w.encode() for w in words]
+        out = known.get_all(raw)
+        unseen = [k for k, ids in enumerate(out) if ids is None]
+        for k, ids in zip(unseen, bpe.merge_all([raw[k] for k in unseen]), strict=True):
+            out[k] = ids
         return out
 
     size = max(bpe.bytes_of, default=0) + 1

@@ -16,7 +16,7 @@ class Transducer:
     """
 
     def __init__(self, path: str):
-        raw = np.memmap(path, "<u4", "r")
+        raw = np.asarray(np.memmap(path, "<u4", "r"))
         magic, states, arcs, n, ids = (int(x) for x in raw[:5])
         if magic != MAGIC:
             raise ValueError(f"{path} holds no transducer")
@@ -31,22 +31,30 @@ class Transducer:
         self.first, self.final = part(states + 1), part(states)
         self.byte, self.target, self.before = part(arcs), part(arcs), part(arcs)
         self.place, self.ids = part(n + 1), part(ids)
+        self.arcs = np.repeat(np.arange(states), np.diff(self.first)) * 256 + self.byte  # ascending
 
-    def number(self, word: bytes) -> int:
-        """The word's place in the sorted lexicon, or -1."""
-        state, number = 0, 0
-        for c in word:
-            a, b = int(self.first[state]), int(self.first[state + 1])
-            k = a + int(np.searchsorted(self.byte[a:b], c))
-            if k == b or self.byte[k] != c:
-                return -1
-            number += int(self.before[k])
-            state = int(self.target[k])
-        return number if self.final[state] else -1
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The place of each word in the sorted lexicon, or -1. All words take a step at a time, until each has ended or left the lexicon."""
+        size = np.array([len(w) for w in words], np.int64)
+        data, at = np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size
+        state, number, out = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        live, step = np.flatnonzero(size), 0
+        if not len(self.arcs):
+            out[live], live = True, live[:0]
+        while len(live):
+            arc = state[live] * 256 + data[at[live] + step]
+            k = np.minimum(np.searchsorted(self.arcs, arc), len(self.arcs) - 1)
+            hit = self.arcs[k] == arc
+            out[live[~hit]] = True
+            live, k, step = live[hit], k[hit], step + 1
+            number[live] += self.before[k]
+            state[live] = self.target[k]
+            live = live[size[live] > step]
+        return np.where(out | (self.final[state] == 0), -1, number)
 
-    def get(self, word: bytes) -> np.ndarray | None:
-        i = self.number(word)
-        return None if i < 0 else self.ids[self.place[i] : self.place[i + 1]]
+    def get_all(self, words: list[bytes]) -> list[np.ndarray | None]:
+        """The ids of each word, None for those outside the lexicon."""
+        return [None if i < 0 else self.ids[self.place[i] : self.place[i + 1]] for i in self.numbers(words).tolist()]
 
 
 def compile_words(entries: dict[bytes, list[int]]) -> bytes:

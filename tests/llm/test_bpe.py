@@ -38,18 +38,24 @@ def test_empty_table(spark):
     assert bpe_round_trip(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_both_merges_agree():
+def test_all_merges_agree():
     bpe = ByteBPE(open(default_tokenizer(), encoding="utf-8").read())
     pick = random.Random(1)
-    for _ in range(200):
-        word = bytes(pick.choice(b"theandrsing \xc3\xa9") for _ in range(pick.randint(0, 90)))
-        assert bpe.merge(word) == bpe.merge_long(word)
+    words = [bytes(pick.choice(b"theandrsing \xc3\xa9") for _ in range(pick.randint(0, 90))) for _ in range(200)] + [b"aaaa", b"a" * 64, b"a" * 65]
+    for word, ids in zip(words, bpe.merge_all(words), strict=True):
+        assert bpe.merge(word) == bpe.merge_long(word) == list(ids)
+    assert bpe.merge_all([]) == []
 
 
 def test_transducer_shares_suffixes(tmp_path):
     words = {w.encode(): [k, k + 1] for k, w in enumerate(["", "stating", "stat", "rating", "rat", "hating", "éting"])}
     (tmp_path / "x.fst").write_bytes(compile_words(words))
     t = Transducer(str(tmp_path / "x.fst"))
-    assert all(t.get(w).tolist() == ids for w, ids in words.items())
-    assert t.get(b"hat") is None and t.get(b"x") is None and t.get(b"statingx") is None
+    assert [x.tolist() for x in t.get_all(list(words))] == list(words.values())
+    assert t.get_all([b"hat", b"x", b"statingx", b"statin"]) == [None] * 4
     assert len(t.final) < sum(map(len, words)) and t.words == len(words)
+
+
+def test_transducer_without_words(tmp_path):
+    (tmp_path / "x.fst").write_bytes(compile_words({}))
+    assert Transducer(str(tmp_path / "x.fst")).get_all([b"a", b""]) == [None, None]
