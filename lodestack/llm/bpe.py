@@ -12,10 +12,10 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batches, table
+from .common import batches, cut, table
 from .kernels import span_hashes, text_buffer
 from .pretokens import Encoder, classes, pieces, split_special
 from .transducer import Transducer, compile_words
@@ -162,9 +162,14 @@ def word_counts(docs: DataFrame, kinds, special: dict[str, int]) -> DataFrame:
 
 
 def build_lexicon(docs: DataFrame, bpe: ByteBPE, kinds, size: int) -> bytes:
-    """The `size` most frequent words (ties: the smaller word first), compiled. The driver holds no more than these."""
-    top = word_counts(docs, kinds, bpe.special).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
-    words = [bytes(r[0]) for r in top]
+    """The most frequent words that occur twice or more, compiled: at most `size`, none of those whose count would make it more.
+
+    How many words have each count settles the least count to take, so the driver gets the lexicon's words only.
+    """
+    counts = cut(word_counts(docs, kinds, bpe.special).filter("n > 1"), "word_counts")
+    held = F.sum("words").over(Window.orderBy(F.desc("n")))  # over the distinct counts, not the words
+    least = counts.groupBy("n").agg(F.count("*").alias("words")).select("n", held.alias("held")).filter(F.col("held") <= size).agg(F.min("n")).first()[0]
+    words = [] if least is None else [bytes(r[0]) for r in counts.filter(F.col("n") >= least).select("word").collect()]
     return compile_words({w: list(map(int, ids)) for w, ids in zip(words, bpe.merge_all(words), strict=True)})
 
 
