@@ -132,14 +132,14 @@ def x13_f14_read_plan_bounds(spark, d):
 
 
 @query("""WITH n AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'main' WHEN 1 THEN 'smoke-later-1' ELSE 'smoke-' || strftime(o_orderdate, '%Y%m%d') || '-' || o_orderkey END AS name FROM orders)
-SELECT o_orderkey, name FROM n WHERE try_strptime(nullif(regexp_extract(name, '^smoke-([0-9]{8})-', 1), ''), '%Y%m%d') < TIMESTAMP '1995-01-01'""")
+SELECT o_orderkey, name FROM n WHERE try_strptime(nullif(regexp_extract(name, '^smoke-([0-9]{8})-', 1), ''), '%Y%m%d') < TIMESTAMP '1998-04-25'""")
 def f16_stale_revisions(spark, d):
     """Test revisions whose name holds a day before the cutoff; names without a day are left alone."""
     k, day = F.col("o_orderkey") % 4, F.date_format("o_orderdate", "yyyyMMdd")
     name = F.when(k == 0, "main").when(k == 1, "smoke-later-1").otherwise(F.concat(F.lit("smoke-"), day, F.lit("-"), F.col("o_orderkey").cast("string")))
     rows = corpus.table(spark, d, "orders").select("o_orderkey", name.alias("name"))
     found = F.try_to_timestamp(F.nullif(F.regexp_extract("name", "^smoke-([0-9]{8})-", 1), F.lit("")), F.lit("yyyyMMdd"))
-    return rows.filter(found < F.lit("1995-01-01").cast("timestamp"))
+    return rows.filter(found < F.lit("1998-04-25").cast("timestamp"))
 
 
 @query("""SELECT a.s_suppkey AS asked, min(p.s_suppkey) AS plan FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey::VARCHAR ELSE upper(s_name) END AS q FROM supplier) a
