@@ -18,8 +18,8 @@ from .weighted import BATCH_BYTES, Sampler, Weights, learn_weights, shingle_sets
 WIDTH, SIMILARITY = 5, 0.8
 #: samples a document; bands of so many samples each (a sample serves in several bands)
 SAMPLES, BANDS, BAND_SIZE = 48, 32, 6
-#: what is left is held pair by pair against more samples (16 bits of each): at similarity 0.8 fewer than AGREE of WIDE agree in about one of a million pairs
-WIDE, AGREE = 512, 366
+#: what is left is compared pair by pair with weights in this many units of 1; an occurrence of a shingle weighs 1.5 at most, so 16 bits hold it
+UNITS = 1 << 15
 #: rounds of comparing buckets with one member each, before what is left is compared pairwise; shingles remembered by a verifying task
 STAR_ROUNDS, MEMORY = 6, 1 << 20
 
@@ -162,33 +162,45 @@ def other_stars(members: DataFrame, classes: DataFrame, round_: int) -> DataFram
     return open_.join(cut(centre.select("bucket", "c.b", "c.class_b"), "centres"), "bucket").filter("class <> class_b").select(F.col("node").alias("a"), "b").distinct()
 
 
-def wide_samples(texts: DataFrame, weights: Weights, width: int) -> DataFrame:
-    """(node, wide): WIDE samples of each text, 16 bits of each."""
+def weighted_items(texts: DataFrame, weights: Weights, width: int) -> DataFrame:
+    """(node, items): each text's weighted shingle set as plain 64-bit items, so that SQL functions can intersect it.
+
+    A shingle that occurs tf times gives one item for each of its first tf occurrences: a hash of shingle and occurrence
+    in the high 48 bits, and in the low 16 what that occurrence adds to the weight, in units of 1 / UNITS, rounded up.
+    The shared items of two sets then sum to at least the sum of their lesser weights.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(weights)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(WIDE)
+        weigh = shared.value
         for batch in batches(it, BATCH_BYTES):
-            samples = sampler([(h, shared.value(h, tf)) for h, tf in shingle_sets(*text_buffer(batch.column("text")), width)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(samples.astype(np.uint16).view(np.int16)), pa.list_(pa.int16()))], ["node", "wide"])
+            items = []
+            for h, tf in shingle_sets(*text_buffer(batch.column("text")), width):
+                level = np.arange(1, int(tf.sum()) + 1) - np.repeat(np.cumsum(tf) - tf, tf)
+                every = np.repeat(h, tf)
+                added = weigh(every, level) - np.where(level > 1, weigh(every, np.maximum(level - 1, 1)), 0)
+                name = mix(every + level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & ~np.uint64(0xFFFF)
+                items.append((name | np.ceil(added * UNITS).astype(np.uint64)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(items, pa.list_(pa.int64()))], ["node", "items"])
 
-    return texts.select("doc_id", "text").mapInArrow(run, "node long, wide array<short>")
+    return texts.select("doc_id", "text").mapInArrow(run, "node long, items array<long>")
 
 
 def across_classes(members: DataFrame, classes: DataFrame, nodes: DataFrame, texts: DataFrame, weights: Weights, width: int, least: float) -> DataFrame:
-    """Pairs (a, b) that share a bucket but not a class and could be similar: their masses are within `least` and enough
-    wide samples agree. A pair is made in the first bucket that it shares."""
+    """Pairs (a, b) that share a bucket but not a class and are similar but for rounding (see weighted_items). A pair is
+    made in the first bucket that it shares."""
     open_ = open_buckets(members, classes)
     asked = open_.select(F.col("node").alias("doc_id")).distinct()
-    wide = cut(wide_samples(texts.join(asked, "doc_id", "left_semi"), weights, width), "wide")
-    open_ = open_.select("bucket", "node", "class").join(nodes.select("node", "mass", "bands").join(wide, "node"), "node")
+    items = cut(weighted_items(texts.join(asked, "doc_id", "left_semi"), weights, width), "items")
+    open_ = open_.select("bucket", "node", "class").join(nodes.select("node", "mass", "bands").join(items, "node"), "node")
     open_ = cut(open_, "open")
-    a, b = (open_.select(*[F.col(c).alias(f"{c}_{x}") for c in ("bucket", "node", "class", "mass", "bands", "wide")]) for x in ("a", "b"))
+    a, b = (open_.select(*[F.col(c).alias(f"{c}_{x}") for c in ("bucket", "node", "class", "mass", "bands", "items")]) for x in ("a", "b"))
     same = lambda one, two: F.zip_with(one, two, lambda x, y: x == y)
     first = F.array_position(same("bands_a", "bands_b"), True) == F.array_position("bands_a", F.col("bucket_a"))
     fits = (F.col("bucket_a") == F.col("bucket_b")) & (F.col("node_a") < F.col("node_b")) & (F.col("class_a") != F.col("class_b"))
     fits &= (F.least("mass_a", "mass_b") >= least * F.greatest("mass_a", "mass_b") - 1e-6) & first
-    fits &= F.size(F.filter(same("wide_a", "wide_b"), lambda hit: hit)) >= AGREE
+    both = F.aggregate(F.array_intersect("items_a", "items_b"), F.lit(0).cast("long"), lambda total, x: total + x.bitwiseAND(F.lit(0xFFFF)))
+    fits &= both * ((1 + least) / UNITS) >= least * (F.col("mass_a") + F.col("mass_b")) - 1e-6
     return a.join(b, fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 

@@ -118,3 +118,17 @@ def test_components(spark):
     want = closure(1000, links)
     assert all(got.get(k, k) == want[k] for k in range(1000))
     assert components(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_items_bound_the_shared_weight(spark):
+    texts = ["a b c d e f g h a b c d e f g h a b c d e", "a b c d e f g h i j k a b c d e x", "", "one two"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    weights = learn_weights(rows)
+    items = {r.node: set(r["items"]) for r in N.weighted_items(rows, weights, 5).collect()}
+    sets = [(h, weights(h, tf)) for h, tf in N.shingle_sets(*text_buffer(pa.array(texts)), 5)]
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            _, p, q = np.intersect1d(sets[i][0], sets[j][0], return_indices=True)
+            true = np.minimum(sets[i][1][p], sets[j][1][q]).sum()
+            got = sum(x & 0xFFFF for x in items[i] & items[j]) / N.UNITS
+            assert true <= got + 1e-9 and got <= true + len(items[i]) / N.UNITS
