@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import expressions as X
 from ..sources import corpus
 from .reference import _CHUNKS, _chunks, query
 
@@ -54,9 +55,7 @@ def c07_c08_byte_ranges(spark, d):
     given = F.when(i % 4 == 0, "bogus").when(i % 4 == 1, "bytes 5/42").when(i % 4 == 2, F.concat(F.lit("bytes "), text, F.lit("-"), (i * 2).cast("string"), F.lit("/*"))).otherwise(F.concat(F.lit("bytes 0-"), text, F.lit("/99")))
     held = F.when(i % 3 == 0, "0-0").when(i % 3 == 1, F.concat(F.lit("0-"), text)).otherwise("junk")
     bound = lambda k: F.regexp_extract(given, "^bytes ([0-9]+)-([0-9]+)/", k).try_cast("bigint")
-    last = F.regexp_extract(held, "-([0-9]+)$", 1).try_cast("bigint")
-    committed = F.when(held == "0-0", 0).otherwise(F.coalesce(last + 1, F.lit(0))).cast("long")
-    return corpus.table(spark, d, "events").select("event_id", bound(1).alias("first_byte"), bound(2).alias("last_byte"), committed.alias("committed"))
+    return corpus.table(spark, d, "events").select("event_id", bound(1).alias("first_byte"), bound(2).alias("last_byte"), X.committed_bytes(held).alias("committed"))
 
 
 @query("""WITH r AS (SELECT doc_id, source || '/' || lang || '/' || doc_id AS id FROM documents)
@@ -67,3 +66,42 @@ def c13_c15_repository_names(spark, d):
     rows = corpus.table(spark, d, "documents").select("doc_id", ident.alias("id"))
     parts = F.split("id", "/", 2)
     return rows.select("doc_id", parts[0].alias("project"), parts[1].alias("repo"), F.replace(parts[1], F.lit("/"), F.lit("%2F")).alias("encoded"), F.concat(F.lit("models--"), F.replace("id", F.lit("/"), F.lit("--"))).alias("folder"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN [0, 6, 0] WHEN 1 THEN [o_orderkey, 5] WHEN 2 THEN [1, 2, o_orderkey % 9]::BIGINT[] ELSE [0, 0, 0] END::BIGINT[]::VARCHAR AS version,
+o_orderkey % 4 IN (1, 2) AS newer FROM orders""")
+def c16_versions(spark, d):
+    """The leading integers of version texts, and whether they come after 0.6.0."""
+    k = F.col("o_orderkey")
+    text = F.when(k % 4 == 0, "0.6.0rc1").when(k % 4 == 1, F.concat(k.cast("string"), F.lit(".5"))).when(k % 4 == 2, F.concat(F.lit("1.2."), (k % 9).cast("string"))).otherwise("0.0.0+unknown")
+    rows = corpus.table(spark, d, "orders").select("o_orderkey", X.leading_version(text).alias("v"))
+    newer = F.col("v") > F.array(*[F.lit(n).cast("long") for n in (0, 6, 0)])
+    return rows.select("o_orderkey", F.concat(F.lit("["), F.array_join(F.col("v").cast("array<string>"), ", "), F.lit("]")).alias("version"), newer.alias("newer"))
+
+
+@query("""SELECT page_id, rtrim(url, '/') AS registry, url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'digest=' || page_id AS upload FROM pages""")
+def c26_c27_addresses(spark, d):
+    """Addresses without slashes at their end, and with a digest added to their query."""
+    url = F.col("url")
+    upload = F.concat(url, F.when(F.contains(url, F.lit("?")), "&").otherwise("?"), F.lit("digest="), F.col("page_id").cast("string"))
+    return corpus.table(spark, d, "pages").select("page_id", F.regexp_replace(url, "/+$", "").alias("registry"), upload.alias("upload"))
+
+
+@query("""SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN p_name WHEN 1 THEN 'datasets/' || p_name ELSE 'spaces/' || p_name END AS path,
+coalesce(nullif(CASE WHEN p_size % 2 = 0 THEN '' ELSE p_brand END, ''), nullif(p_type, ''), '-') AS label FROM part""")
+def c12_c28_paths_and_labels(spark, d):
+    """Repository paths by kind, and the first of two names that is not empty."""
+    size = F.col("p_size")
+    path = F.concat(F.when(size % 3 == 0, "").when(size % 3 == 1, "datasets/").otherwise("spaces/"), F.col("p_name"))
+    first = F.when(size % 2 == 0, "").otherwise(F.col("p_brand"))
+    label = F.coalesce(F.nullif(first, F.lit("")), F.nullif("p_type", F.lit("")), F.lit("-"))
+    return corpus.table(spark, d, "part").select("p_partkey", path.alias("path"), label.alias("label"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') END AS made FROM events""")
+def c22_revision_times(spark, d):
+    """The time that a revision's name holds; names of another form have none."""
+    name = F.when(F.col("event_id") % 3 == 0, "smoke-2026-x").otherwise(F.concat(F.lit("smoke-"), F.date_format("ts", "yyyyMMdd-HHmmss"), F.lit("-ab")))
+    held = F.regexp_extract(name, r"^smoke-([0-9]{8}-[0-9]{6})-", 1)
+    made = F.try_to_timestamp(F.nullif(held, F.lit("")), F.lit("yyyyMMdd-HHmmss"))
+    return corpus.table(spark, d, "events").select("event_id", F.date_format(made, "yyyy-MM-dd HH:mm:ss").alias("made"))
