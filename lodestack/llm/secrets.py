@@ -20,7 +20,8 @@ HEX = r"[0-9a-f]{24,}"  # runs are taken whole, so this finds the same as [0-9a-
 KINDS = ("assign", "access", "hex", "ident", "value")
 #: weak parts: they count only beside others
 IDENT = r"(?i:access_?id|client_?id|account|username|user|login)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9@._+-]{3,}"
-VALUE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,64}={0,2}(?![A-Za-z0-9+/_=-])"
+#: a value is a whole run of its characters, of any length; a run before `=` and more of them is a name
+VALUE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}+={0,2}(?!=*[A-Za-z0-9+/_-])"
 ENDPOINT = r"(?:https?://[A-Za-z0-9.-]+|\b(?:\d{1,3}\.){3}\d{1,3}(?::\d{2,5})?\b)"
 SCOPE = 200
 
