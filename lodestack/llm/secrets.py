@@ -72,7 +72,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def link(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
     """(key, weak): the weak spans of each text with complementary parts in scope. The join runs over (text, stretch of
-    `scope` code points), each part looking into its own stretch and both neighbours.
+    `scope` code points): a span asks in every stretch that it touches, and is found in every stretch within `scope` of it.
 
     An identifier needs a secret value or a base span in scope; a value needs an identifier, an endpoint or an access
     key. Parts inside a base span are part of that span.
@@ -81,12 +81,13 @@ def link(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
     free = F.filter("parts", lambda p: ~F.exists("base", lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"])))
     weak = rows.select("key", F.explode(free).alias("p")).select("key", "p.*")
     strong = rows.select("key", F.explode("base").alias("p")).select("key", "p.*")
-    every = weak.unionByName(strong).withColumn("cell", F.floor(F.col("start") / scope))
-    near = every.withColumn("cell", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)))
+    every = weak.unionByName(strong)
+    cells = lambda start, end: F.explode(F.sequence(F.floor(start / scope), F.floor(end / scope)))
+    near = every.withColumn("cell", cells(F.col("start") - scope, F.col("end") + scope))
     near = near.select("key", "cell", *[F.col(c).alias(f"o_{c}") for c in ("start", "end", "kind")])
     close = (F.col("o_start") <= F.col("end") + scope) & (F.col("start") <= F.col("o_end") + scope)
     needs = ((F.col("kind") == "ident") & F.col("o_kind").isin("value", "assign", "access", "hex")) | ((F.col("kind") == "value") & F.col("o_kind").isin("ident", "endpoint", "access"))
-    asked = every.filter(F.col("kind").isin("ident", "value"))
+    asked = every.filter(F.col("kind").isin("ident", "value")).withColumn("cell", cells(F.col("start"), F.col("end")))
     linked = asked.join(near, ["key", "cell"]).filter(close & needs).select("key", "start", "end", "kind").distinct()
     return linked.groupBy("key").agg(F.collect_list(F.struct("start", "end", "kind")).alias("weak"))
 

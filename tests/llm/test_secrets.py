@@ -77,3 +77,16 @@ def test_values_after_a_name_and_of_any_length(spark):
     clean = {r.doc_id: r.text for r in S.redact_documents(docs).collect()}
     assert clean == {0: "[access]\nAWS_SECRET_ACCESS_KEY=[value]\n", 1: "Endpoint=https://ex.org/;AccountKey=[value];x", 2: "at 10.0.0.1:80 [value]", 3: "https://ex.org/ [value]=", 4: texts[4]}
     assert {r.doc_id: r.n_linked for r in S.secret_report(docs).collect()} == {0: 1, 1: 1, 2: 1, 3: 1, 4: 0}
+
+
+def test_long_spans_and_gaps_of_the_scope(spark):
+    value = "Ab1" * 7
+    texts = [f"{'-' * pad} token={'J.w' * 200} {'.' * 9}client_id=abc" for pad in (0, 50, 199)]
+    for pad in (0, 1, 178, 199):
+        for gap in (S.SCOPE, S.SCOPE + 1):
+            texts += [f"{'.' * pad} {value}{' ' * gap}user=bob", f"{'.' * pad} user=bob{' ' * gap}{value}", f"{'.' * pad} user=bob{' ' * gap}{value * 40}{' ' * gap}login=eve"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in S.secret_report(docs).collect()}
+    assert got == {k: text_of(every(t)) for k, t in enumerate(texts)}
+    assert all("ident" in got[k] for k in range(3))
+    assert [got[k].count(":") // 2 for k in range(3, 9)] == [2, 2, 3, 0, 0, 0]
