@@ -1,4 +1,8 @@
-"""Operator 4: embedding near-duplicates by a random-projection tree forest."""
+"""Operator 4: embedding near-duplicates by a random-projection tree forest, and exactly around dense places.
+
+Where more vectors lie within the cosine of each other than a leaf holds, no split can part near from far. Such places
+become balls: every vector in one is compared with all that can link to it, block by block; the trees hold the rest.
+"""
 
 from __future__ import annotations
 
@@ -21,6 +25,10 @@ TREES, SPILL, LEAF = 24, 0.07, 256
 #: a tree, and later each part of it that is still too large, is fitted on so many of its vectors; every vector is placed
 SAMPLE = 8192
 MOST_ROUNDS = 6
+#: a place is dense if a sampled vector has so many sampled ones within the cosine, standing for more than a large leaf
+DENSE_SEEN = 16
+#: vectors of a ball that one task compares with as many others, and the least that it is cut to
+BLOCK, LEAST_BLOCK = 4096, 512
 
 
 class Tree:
@@ -129,9 +137,129 @@ def plant(nodes: DataFrame, count: int, trees: int, leaf: int) -> DataFrame:
     return nodes.select("node", "copies", "embedding").mapInArrow(run, f"node long, copies long, embedding {kind}, leaves array<long>")
 
 
+def dense(x: np.ndarray, share: float, cosine: float, leaf: int) -> list[int]:
+    """Rows of the sample x that cover its dense ones: each of these is within the cosine of one. The sample is `share` of all."""
+    hits = np.concatenate([(x[a : a + 512] @ x.T >= cosine).sum(axis=1) for a in range(0, len(x), 512)] or [np.zeros(0, int)])
+    rows, picked = np.flatnonzero((hits >= DENSE_SEEN) & (hits > 4 * leaf * share)), []
+    while len(rows):
+        picked.append(int(rows[0]))
+        rows = rows[1:][x[rows[1:]] @ x[rows[0]] < cosine]
+    return picked
+
+
+def sampled_centres(nodes: DataFrame, count: int, cosine: float, leaf: int) -> np.ndarray:
+    """Centres of the places that are dense in one bounded sample of all vectors."""
+    rows = [r.embedding for r in _sampled(nodes, count).select("embedding", "node").orderBy("node").collect()]
+    x, good = unit(pa.array(rows, pa.list_(pa.float64())))
+    x = x[good]
+    return x[dense(x, len(x) / max(1, count), cosine, leaf)]
+
+
+def _large(placed: DataFrame, leaf: int) -> DataFrame:
+    return cut(placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).filter(F.col("n") > 4 * leaf), "large")
+
+
+def crowded_centres(placed: DataFrame, leaf: int, cosine: float) -> np.ndarray | None:
+    """Centres of the places that are dense in a bounded sample of a large leaf, none within the cosine of another; None if there is none."""
+    sizes = _large(placed, leaf)
+    if sizes.isEmpty():
+        return None
+    inside = placed.select("node", "embedding", F.explode("leaves").alias("leaf")).join(sizes, "leaf")
+    # leaves of one size sample the same nodes, in the same order: they mostly find the same centres
+    few = inside.withColumn("at", F.pmod(F.xxhash64(F.lit("dense"), "node"), F.lit(1 << 30))).filter(F.col("at") < F.lit(SAMPLE // 2) * (1 << 30) / F.col("n"))
+
+    def find(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("at", "ascending"), ("node", "ascending")])
+        x, good = unit(rows["embedding"].combine_chunks())
+        picked = np.flatnonzero(good)[dense(x[good], int(good.sum()) / rows["n"][0].as_py(), cosine, leaf)]
+        return pa.table({"node": rows["node"].combine_chunks().take(pa.array(picked, pa.int64())), "centre": pa.array(list(x[picked]), pa.list_(pa.float64()))})
+
+    centres = few.groupBy("leaf").applyInArrow(find, "node long, centre array<double>").dropDuplicates(["node"])
+    kept: list[np.ndarray] = []
+    for row in centres.orderBy("node").collect():  # one for more than 4 * leaf vectors each
+        own = np.array(row.centre)
+        if not kept or (np.array(kept) @ own).max() < cosine:
+            kept.append(own)
+    return np.array(kept) if kept else None
+
+
+def deal(nodes: DataFrame, centres: np.ndarray, cosine: float) -> DataFrame:
+    """Adds `ball`, the nearest centre within the cosine or -1, and `halo`, all balls with vectors that can link to it:
+    at most the angle of the cosine lies between a vector and its centre, and as much again to a linked one."""
+    wide = 2 * cosine * cosine - 1 if cosine > 0 else -1.0
+    shared = nodes.sparkSession.sparkContext.broadcast(centres)
+    cols = nodes.columns
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            x, _ = unit(batch.column("embedding"))
+            balls, halos = [], []
+            for a in range(0, len(x), 256):
+                near = x[a : a + 256] @ shared.value.T
+                best = near.argmax(axis=1)
+                balls += np.where(near.max(axis=1) >= cosine, best, -1).tolist()
+                halos += [np.flatnonzero(r).tolist() for r in near >= wide - 1e-9]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in cols), pa.array(balls, pa.int32()), pa.array(halos, pa.list_(pa.int32()))], [*cols, "ball", "halo"])
+
+    return nodes.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in nodes.dtypes) + ", ball int, halo array<int>")
+
+
+def together(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the rows and columns that a table of links connects; -1 for a column without any."""
+    rows, cols, turned = np.full(len(hit), -1), np.full(hit.shape[1], -1), np.ascontiguousarray(hit.T)
+    for k in range(len(hit)):
+        if rows[k] >= 0:
+            continue
+        rows[k], new = k, np.array([k])
+        while len(new):
+            other = np.flatnonzero(hit[new].any(axis=0) & (cols < 0))
+            cols[other] = k
+            new = np.flatnonzero(turned[other].any(axis=0) & (rows < 0))
+            rows[new] = k
+    return rows, cols
+
+
+def link_balls(dealt: DataFrame, cosine: float) -> DataFrame:
+    """(node, root, links) as of link_leaves, for all pairs with a vector in a ball. Ball and halo are cut to blocks, and
+    each pair of blocks is a group of its own. A pair of vectors in balls counts for each in its own ball, another pair
+    in the one ball that it meets."""
+    every = dealt.select("node", "copies", "embedding", "ball", F.explode("halo").alias("of"))
+    core = F.col("ball") == F.col("of")
+    sizes = every.groupBy("of").agg(F.sum(core.cast("long")).alias("n"), F.count("*").alias("m")).filter("n > 0")
+    parts = lambda n: F.ceil(n / F.least(F.lit(BLOCK), F.greatest(F.lit(LEAST_BLOCK), n / 8)))
+    sizes = cut(sizes.select("of", parts(F.col("n")).alias("across"), parts(F.col("m")).alias("down")), "balls")
+    every = every.join(sizes, "of")
+    own = lambda n: F.pmod(F.xxhash64(F.lit("block"), "node"), F.col(n))
+    cols = ["of", "node", "copies", "embedding", (F.col("ball") >= 0).alias("inside")]
+    asked = every.filter(core).select(*cols, F.lit(True).alias("asks"), own("across").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)).alias("j"))
+    there = every.select(*cols, F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)).alias("i"), own("down").alias("j"))
+
+    def run(rows: pa.Table) -> pa.Table:
+        x, _ = unit(rows["embedding"].combine_chunks())
+        nodes, copies, inside, asks = (rows[c].to_numpy() for c in ("node", "copies", "inside", "asks"))
+        a, b = np.flatnonzero(asks), np.flatnonzero(~asks)
+        hit = np.zeros((len(a), len(b)), bool)
+        links = np.zeros(len(x), np.int64)
+        for k in range(0, len(a), 512):
+            hit[k : k + 512] = (x[a[k : k + 512]] @ x[b].T >= cosine) & (nodes[a[k : k + 512], None] != nodes[b])
+            links[a[k : k + 512]] = [copies[b[r]].sum() for r in hit[k : k + 512]]
+            links[b] += np.array([copies[a[k : k + 512]][c].sum() for c in hit[k : k + 512].T], np.int64)
+        links[b[inside[b]]] = 0
+        at, to = together(hit)
+        least = np.full(len(a), np.iinfo(np.int64).max)
+        np.minimum.at(least, at, nodes[a])
+        np.minimum.at(least, to[to >= 0], nodes[b[to >= 0]])
+        root = nodes.copy()
+        root[a], root[b[to >= 0]] = least[at], least[to[to >= 0]]
+        said = (links > 0) | (root != nodes)
+        return pa.table({"node": nodes[said], "root": root[said], "links": links[said]})
+
+    return asked.unionByName(there).groupBy("of", "i", "j").applyInArrow(run, "node long, root long, links long")
+
+
 def split_large(placed: DataFrame, leaf: int, round_: int) -> DataFrame | None:
     """Leaves of more than four times `leaf` vectors get trees of their own, each fitted in one task on a bounded sample; None if there is none."""
-    sizes = cut(placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).filter(F.col("n") > 4 * leaf), "large")
+    sizes = _large(placed, leaf)
     if sizes.isEmpty():
         return None
     kind = dict(placed.dtypes)["embedding"]
@@ -217,7 +345,7 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, trees: int = TRE
     """Per row: vec_id, n_links, component_id, kept (vec_id = component_id), n_copies (rows with the same vector).
 
     Equal vectors are one point with its count, so a large group of copies costs one row in a leaf. Two points are
-    compared if some leaf holds both; a pair held by several leaves is counted in the one of smallest id. Links have a
+    compared if one lies in a dense place, or some leaf holds both; a pair held by several leaves is counted in the one of smallest id. Links have a
     cosine of at least `cosine` in double precision; a link whose points no tree puts together is missed (the tests
     measure how many). Vectors that are null, zero or hold null or non-finite components, and those without a vec_id,
     link with nothing: n_links 0, component_id = vec_id, kept = true. Vectors of different lengths do not link. Rows
@@ -236,14 +364,25 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, trees: int = TRE
         count = nodes.count()
         if not count:
             continue
-        placed = cut(plant(nodes, count, trees, leaf), "placed")
+        centres, rest = sampled_centres(nodes, count, cosine, leaf), nodes
+        if len(centres):
+            rest = cut(deal(nodes, centres, cosine).filter("ball < 0").select("node", "copies", "embedding"), "rest")
+            count = rest.count()
+        placed = cut(plant(rest, count, trees, leaf), "placed")
         for round_ in range(1, MOST_ROUNDS):
+            for _ in range(MOST_ROUNDS):
+                if (more := crowded_centres(placed, leaf, cosine)) is None:
+                    break
+                centres = np.concatenate([centres, more]) if len(centres) else more
+                placed = cut(deal(placed, more, cosine).filter("ball < 0").drop("ball", "halo"), "placed")
             smaller = split_large(placed, leaf, round_)
             if smaller is None:
                 break
             placed = cut(smaller, "placed")
         own = cut(link_leaves(placed, cosine), "links")
         found = own if found is None else found.unionByName(own)
+        if len(centres):
+            found = found.unionByName(cut(link_balls(cut(deal(nodes, centres, cosine), "dealt"), cosine), "links"))
     if found is None:
         found = points.select("node", F.col("node").alias("root"), F.lit(0).cast("long").alias("links"))
     classes = components(found.filter("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst")))

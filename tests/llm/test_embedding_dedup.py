@@ -81,3 +81,33 @@ def test_edges(spark):
 def test_recall_on_the_table(spark):
     rows = [(r.vec_id, r.embedding, 0, 5, "c") for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     assert recall(spark, rows) >= 0.99
+
+
+def counted(x):
+    """Links of each vector, in blocks."""
+    x = np.array(x, np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return np.concatenate([(x[a : a + 1000] @ x.T >= E.COSINE).sum(axis=1) - 1 for a in range(0, len(x), 1000)])
+
+
+def test_large_near_group(spark):
+    pick = np.random.default_rng(5)
+    centre = pick.normal(size=48)
+    x = np.r_[centre + 0.24 * pick.normal(size=(20_000, 48)), centre + 0.5 * pick.normal(size=(500, 48)), clustered(900, 6)].astype(np.float32)
+    rows = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r for r in E.embedding_links(rows).collect()}
+    found, links = np.array([got[k].n_links for k in range(len(x))]), counted(x)
+    assert len(got) == len(x) and (found <= links).all()
+    assert found[:20_000].sum() == links[:20_000].sum() and found.sum() >= 0.99 * links.sum()
+    assert all(got[k].component_id == 0 for k in range(20_000))
+
+
+def test_dense_places_that_only_a_leaf_shows(spark, monkeypatch):
+    monkeypatch.setattr(E, "SAMPLE", 400)
+    monkeypatch.setattr(E, "BLOCK", 100)
+    monkeypatch.setattr(E, "LEAST_BLOCK", 50)
+    pick = np.random.default_rng(7)
+    x = np.r_[pick.normal(size=48) + 0.05 * pick.normal(size=(300, 48)), clustered(3300, 8)]
+    rows = [(k * 2, v.tolist(), 0, 5, "c") for k, v in enumerate(x.astype(np.float32))]
+    rows += [(20_000 + k, rows[k][1], 0, 5, "c") for k in range(40)]
+    assert recall(spark, rows, leaf=16) >= 0.9
