@@ -14,6 +14,8 @@ from .common import cut, table
 
 QUOTE = r"^[ \t]*((?:>[ \t]?)+)"
 CELL = 64
+#: messages that say one line in one part of the join
+SAID = 1000
 
 
 def lines_of(text: Column) -> Column:
@@ -68,20 +70,22 @@ def passages(parsed: DataFrame) -> DataFrame:
 def link_quotes(parsed: DataFrame) -> DataFrame:
     """(conv_id, turn, uid, passage, level, original_turn, original_uid, matched, lines).
 
-    A quoted line's original is the first message of its conversation that says the line unquoted; only turns before
-    the quoting one count. A passage's original is the message that says most of its lines (ties: the later turn, then
-    the larger uid); where no line is found, it has none.
+    All messages of the conversation of an earlier turn that say a quoted line unquoted have a vote of it. A passage's
+    original is the message that says most of its lines (ties: the later turn, then the larger uid); where no line is
+    found, it has none. Messages that say a line are dealt to parts of SAID, so a common line isn't joined in one task.
     """
-    quoted = passages(parsed)
-    asked = quoted.select("conv_id", "hash").distinct()
+    place = ["conv_id", "turn", "uid", "passage", "level"]
+    asked = passages(parsed).groupBy(*place, "hash").agg(F.count("*").alias("n"))
     said = parsed.select("conv_id", F.struct("turn", "uid").alias("message"), F.explode("own").alias("hash"))
-    said = said.join(asked, ["conv_id", "hash"], "left_semi").groupBy("conv_id", "hash").agg(F.min("message").alias("first"))
-    found = quoted.join(said, ["conv_id", "hash"], "left")
-    earlier = F.when(F.col("first.turn") < F.col("turn"), F.col("first"))
-    votes = found.withColumn("first", earlier).groupBy("conv_id", "turn", "uid", "passage", "level", "first").agg(F.count("*").alias("n"))
-    best = F.max(F.when(F.col("first").isNotNull(), F.struct("n", F.col("first.turn").alias("turn"), F.col("first.uid").alias("uid"))))
-    linked = votes.groupBy("conv_id", "turn", "uid", "passage", "level").agg(best.alias("best"), F.sum("n").alias("lines"))
-    return linked.select("conv_id", "turn", "uid", "passage", "level", F.col("best.turn").alias("original_turn"), F.col("best.uid").alias("original_uid"), F.coalesce("best.n", F.lit(0)).alias("matched"), "lines")
+    said = said.join(asked.select("conv_id", "hash").distinct(), ["conv_id", "hash"], "left_semi")
+    parts = said.groupBy("conv_id", "hash").agg(F.ceil(F.count("*") / SAID).alias("parts"))
+    dealt = said.join(parts, ["conv_id", "hash"]).withColumn("part", F.pmod(F.xxhash64("message"), F.col("parts"))).drop("parts")
+    each = asked.join(parts, ["conv_id", "hash"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    found = each.join(dealt, ["conv_id", "hash", "part"]).filter(F.col("message.turn") < F.col("turn"))
+    votes = found.groupBy(*place, "message").agg(F.sum("n").alias("n"))
+    best = votes.groupBy(*place).agg(F.max(F.struct("n", F.col("message.turn").alias("turn"), F.col("message.uid").alias("uid"))).alias("best"))
+    linked = asked.groupBy(*place).agg(F.sum("n").alias("lines")).join(best, place, "left")
+    return linked.select(*place, F.col("best.turn").alias("original_turn"), F.col("best.uid").alias("original_uid"), F.coalesce("best.n", F.lit(0)).alias("matched"), "lines")
 
 
 def reply_parents(parsed: DataFrame, linked: DataFrame) -> DataFrame:

@@ -90,3 +90,34 @@ def test_no_cell_takes_a_long_conversation(spark):
     got = {r.turn: r for r in C.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
     assert [got[k].thread for k in (0, 6, 7, 2 * C.CELL, 2 * C.CELL + 3, n - 1)] == [0, 0, 7, 7, 2 * C.CELL + 3, 2 * C.CELL + 3]
     assert got[7].reply_to == 0 and got[8].reply_to == 7 and [got[k].position for k in range(n)] == list(range(n))
+
+
+def original(messages, turn, passage):
+    """The earlier turn that says most lines of the passage; of several the last."""
+    says = {t: {said for level, _, said in parse(text) if not level and said} for t, _, text in messages if t < turn}
+    votes = {t: sum(line in own for line in passage) for t, own in says.items()}
+    best = max(votes, key=lambda t: (votes[t], t), default=None)
+    return best if best is not None and votes[best] else None
+
+
+def test_lines_that_several_messages_say(spark, monkeypatch):
+    monkeypatch.setattr(C, "SAID", 4)
+    pick = random.Random(3)
+    convs = {0: [(1, "user", "Hi\nThanks"), (5, "user", "Hi\nthe content\nThanks"), (6, "user", "other"), (7, "user", "> Hi\n> the content\n> Thanks\nyes")]}
+    for conv in range(1, 12):
+        messages = []
+        for turn in range(40):
+            own = [pick.choice(["hi", "thanks", "a", "b", "c", "d"]) for _ in range(pick.randint(1, 3))] + [f"t{turn}"]
+            quote = [f"> {x}" for x in pick.choice(messages)[2].split("\n") if x[0] != ">"][: pick.randint(0, 4)] if messages else []
+            messages.append((turn, "user", "\n".join(quote + own)))
+        convs[conv] = messages
+    rows = [(conv, *m) for conv, messages in convs.items() for m in messages]
+    got = {(r.conv_id, r.turn): r for r in C.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[0, 7].reply_to == 5
+    linked = 0
+    for conv, messages in convs.items():
+        for k, (turn, _, text) in enumerate(messages):
+            to = original(messages, turn, [said for level, _, said in parse(text) if level])
+            assert got[conv, turn].reply_to == (to if to is not None else messages[k - 1][0] if k else None)
+            linked += to is not None
+    assert linked > 100
