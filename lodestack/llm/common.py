@@ -1,4 +1,4 @@
-"""Helpers shared by the training-data operators: tables, the shared folder, cutting lineage, running sums."""
+"""Helpers shared by the training-data operators: tables, the shared folder, cutting lineage, ranges of an order."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: list[str] = []
@@ -17,10 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only a session that names none (a local test) gets its own."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir, or the one given to setCheckpointDir().
+
+    Only a local session that names none gets a folder of its own; a cluster without one is refused, as executors would
+    write to their own disks what others must read.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _OWN:
         _OWN.append("file://" + tempfile.mkdtemp(prefix="spark-"))
     return _OWN[0]
@@ -37,12 +43,16 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(df: DataFrame) -> None:
-    """Delete a table written by cut() that no later job reads."""
-    spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove(*tables: DataFrame) -> None:
+    """Delete tables written by cut() that no later job reads."""
+    for df in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            delete(df.sparkSession, folder)
 
 
 def held_out(doc_id) -> F.Column:
@@ -50,31 +60,14 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
-def range_buckets(df: DataFrame, order: str, n: int = 256) -> F.Column:
-    """A column that numbers n ascending ranges of `order` (a long); the n - 1 cut points come from a bounded quantile sketch.
-
-    Nulls come first, in bucket -1. The cut points only balance the work: any choice gives the same sums.
-    """
-    points = df.stat.approxQuantile(order, [i / n for i in range(1, n)], 0.002)
-    points = sorted({int(p) for p in points})
-    if not points:
-        return F.when(F.col(order).isNull(), -1).otherwise(0)
-    cuts = F.array(*[F.lit(p).cast("long") for p in points])
-    return F.when(F.col(order).isNull(), F.lit(-1)).otherwise(F.size(F.filter(cuts, lambda c: c <= F.col(order))))
-
-
-def running_start(df: DataFrame, order: str, size: str, ties: list[str], out: str = "start") -> DataFrame:
-    """Exclusive running sum of `size` by `order` over the whole table, without bringing all rows to one task.
+def ranged(rows: DataFrame, order: list[Column], name: str, rows_a_range: int = 20_000) -> DataFrame:
+    """The rows written in ascending ranges of `order`, numbered by `_range`; read back without a given order inside a range.
 
-    Rows are dealt to ascending ranges of `order`; the window runs inside a range, and each range adds the total
-    of the ranges before it (a table of at most 257 rows). Null order values come first; `ties` settle equal ones.
+    The number of ranges grows with the table, so no task takes more than its share of the rows; end `order` with a
+    column that tells rows apart, so that ties are split too.
     """
-    dealt = df.withColumn("_bucket", range_buckets(df, order))
-    total = dealt.groupBy("_bucket").agg(F.sum(size).alias("_sum"))
-    before = total.select("_bucket", (F.sum("_sum").over(Window.orderBy("_bucket")) - F.col("_sum")).alias("_before"))
-    own = Window.partitionBy("_bucket").orderBy(F.col(order).asc_nulls_first(), *[F.col(t) for t in ties])
-    inside = dealt.withColumn("_inside", F.sum(size).over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col(size))
-    return inside.join(F.broadcast(before), "_bucket").withColumn(out, F.col("_before") + F.col("_inside")).drop("_before", "_inside", "_bucket")
+    n = max(1, -(-rows.count() // rows_a_range))
+    return cut(rows.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()), name)
 
 
 def batches(it: Iterator, max_bytes: int, column: str = "text") -> Iterator:

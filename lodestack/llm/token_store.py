@@ -2,8 +2,8 @@
 
 A store is a folder of three Parquet tables:
 
-* ``chunks``: one row for each distinct chunk: digest (SHA-256 of its ids as little-endian unsigned 32-bit
-  integers), n (ids), payload (zstd of those integers; 16-bit ones where every id fits, told by `wide`);
+* ``objects/kind=chunk``: one row for each distinct chunk: key (SHA-256 of its ids as little-endian unsigned 32-bit
+  integers), payload (zstd of those integers; 16-bit ones where every id fits, told by `wide`);
 * ``recipes``: one row for each document in ascending doc_id order (nulls first): doc_id, position, start (ids of
   all documents before it), n_tokens, root (Merkle root of its chunk digests), digests, lengths;
 * ``manifest``: the Merkle tree over the recipes in order: level, node, first position, digest. Each node hashes up
@@ -20,11 +20,12 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import default_tokenizer
-from .common import batches, cut, new_path, range_buckets, remove, table
+from .common import batches, cut, delete, new_path, ranged, remove, table
 from .kernels import mix, powers, text_buffer
 from .pretokens import Encoder, classes
 
@@ -88,97 +89,142 @@ class _Same:
         return hash(self.key)
 
 
-def encode_chunks(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """One row a document: doc_id, n_tokens, root, chunks (digest, n, payload, wide).
+OBJECTS = "key binary, doc_id {}, n_tokens long, root binary, digests array<binary>, lengths array<int>, payload binary, wide boolean, kind string"
+
+
+def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """Rows of two kinds (see OBJECTS): a recipe for each document, under a key of its own, and its chunks, under their digests.
 
     Each distinct piece of text goes once through the tokenizers library, whose ids are then put together by
-    document. Within a task a chunk's payload is only given where its digest first appears.
+    document. A task gives a chunk once, save that its memory of chunks starts anew after many.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
         spec = f.read()
     shared = _Same(hashlib.sha256(spec.encode()).hexdigest(), spark.sparkContext.broadcast(spec))
     kinds = _Same("kinds", spark.sparkContext.broadcast(classes()))
-    chunk = pa.struct([("digest", pa.binary()), ("n", pa.int32()), ("payload", pa.binary()), ("wide", pa.bool_())])
+    schema = OBJECTS.format(dict(docs.dtypes)["doc_id"])
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen, pack = _encoder(shared, kinds), set(), zstandard.ZstdCompressor(1)
+        task, row = TaskContext.get().partitionId(), 0
         for batch in batches(it, BATCH_BYTES):
             ids, at = encoder(*text_buffer(batch.column("text")))
-            counts, roots, chunks = [], [], []
+            docs_of, chunks = ([], [], [], [], []), ([], [], [])
             for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                 own = np.append(ids[a:b], np.uint32(END_ID)).astype("<u4")
-                last, parts = 0, []
+                last, digests, lengths = 0, [], []
                 for end in chunk_ends(own):
                     part = own[last:end]
                     digest = hashlib.sha256(part.tobytes()).digest()
-                    payload = wide = None
                     if digest not in seen:
-                        if len(seen) > 300_000:  # a later copy is then written by this task again, and dropped after the shuffle
+                        if len(seen) > 300_000:  # a later copy is then given by this task again, and dropped with those of other tasks
                             seen.clear()
                         seen.add(digest)
                         wide = bool(part.max() > 0xFFFF)
                         payload = pack.compress(part.tobytes() if wide else part.astype("<u2").tobytes())
-                    parts.append({"digest": digest, "n": end - last, "payload": payload, "wide": wide})
+                        for column, value in zip(chunks, (digest, payload, wide), strict=True):
+                            column.append(value)
+                    digests.append(digest)
+                    lengths.append(end - last)
                     last = end
-                counts.append(len(own))
-                roots.append(merkle([p["digest"] for p in parts]))
-                chunks.append(parts)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(roots, pa.binary()), pa.array(chunks, pa.list_(chunk))], ["doc_id", "n_tokens", "root", "chunks"])
+                name = b"recipe" + task.to_bytes(8, "big") + row.to_bytes(8, "big")  # shorter than a digest
+                row += 1
+                for column, value in zip(docs_of, (name, len(own), merkle(digests), digests, lengths), strict=True):
+                    column.append(value)
+            n, k = len(docs_of[0]), len(chunks[0])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(docs_of[0] + chunks[0], pa.binary()),
+                pa.concat_arrays([batch.column("doc_id"), pa.nulls(k, batch.column("doc_id").type)]),
+                pa.array(docs_of[1] + [None] * k, pa.int64()),
+                pa.array(docs_of[2] + [None] * k, pa.binary()),
+                pa.array(docs_of[3] + [None] * k, pa.list_(pa.binary())),
+                pa.array(docs_of[4] + [None] * k, pa.list_(pa.int32())),
+                pa.array([None] * n + chunks[1], pa.binary()),
+                pa.array([None] * n + chunks[2], pa.bool_()),
+                pa.array(["recipe"] * n + ["chunk"] * k),
+            ], names)
 
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, root binary, chunks array<struct<digest:binary,n:int,payload:binary,wide:boolean>>"
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
 
 
+def objects(spark: SparkSession, path: str, kind: str, id_type: str = "long") -> DataFrame:
+    return spark.read.schema(OBJECTS.format(id_type)).parquet(f"{path}/objects").filter(F.col("kind") == kind)
+
+
 def write_store(docs: DataFrame, path: str, tokenizer: str | None = None) -> str:
-    """Encode the texts, each with END_ID after it, and write the three tables under `path`."""
-    staged = cut(encode_chunks(docs, tokenizer or default_tokenizer()), "staged")
-    made = staged.select(F.explode("chunks").alias("c")).select("c.*").filter("payload is not null")
-    made.dropDuplicates(["digest"]).write.parquet(f"{path}/chunks")
-
-    recipes = staged.select("doc_id", "n_tokens", "root", F.col("chunks.digest").alias("digests"), F.col("chunks.n").alias("lengths"))
-    recipes = recipes.withColumn("_bucket", range_buckets(staged.select("doc_id"), "doc_id"))
-    totals = recipes.groupBy("_bucket").agg(F.count("*").alias("_rows"), F.sum("n_tokens").alias("_ids"))
-    order = Window.orderBy("_bucket")
-    totals = totals.select("_bucket", *[(F.sum(c).over(order) - F.col(c)).alias(c) for c in ("_rows", "_ids")])
-    own = Window.partitionBy("_bucket").orderBy(F.col("doc_id").asc_nulls_first(), "root")
+    """Encode the texts, each with END_ID after it, and write the three tables under `path`.
+
+    Chunks and recipes come from one pass and one shuffle by key, which drops what several tasks gave; the payloads are
+    written once, where they stay. The recipes, a small part of it, are then put in order.
+    """
+    spark, id_type = docs.sparkSession, dict(docs.dtypes)["doc_id"]
+    encode(docs, tokenizer or default_tokenizer()).dropDuplicates(["key"]).write.partitionBy("kind").parquet(f"{path}/objects")
+
+    made = objects(spark, path, "recipe", id_type).select("key", "doc_id", "n_tokens", "root", "digests", "lengths")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("root"), F.col("key")]  # the key splits rows that repeat
+    made = ranged(made, order, "ranged")
+    totals = made.groupBy("_range").agg(F.count("*").alias("_rows"), F.sum("n_tokens").alias("_ids"))
+    before = Window.orderBy("_range")  # one row a range, not a document
+    totals = totals.select("_range", *[(F.sum(c).over(before) - F.col(c)).alias(c) for c in ("_rows", "_ids")])
+    own = Window.partitionBy("_range").orderBy(*order)
     recipes = (
-        recipes.withColumn("position", F.row_number().over(own) - 1)
+        made.withColumn("position", F.row_number().over(own) - 1)
         .withColumn("start", F.sum("n_tokens").over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens"))
-        .join(F.broadcast(totals), "_bucket")  # one row a bucket, 257 at most
+        .join(F.broadcast(totals), "_range")
         .select("doc_id", (F.col("position") + F.col("_rows")).alias("position"), (F.col("start") + F.col("_ids")).alias("start"), "n_tokens", "root", "digests", "lengths")
     )
     recipes.write.parquet(f"{path}/recipes")
-    remove(staged)
-    write_manifest(docs.sparkSession, path)
+    delete(spark, f"{path}/objects/kind=recipe")
+    remove(made)
+    write_manifest(spark, path)
     return path
 
 
+def _parents(nodes: DataFrame) -> DataFrame:
+    """The nodes (level, node, digest) above nodes of one or more levels: each hashes up to FANOUT of the level below."""
+    own = nodes.groupBy((F.col("level") + 1).alias("level"), F.expr(f"node div {FANOUT}").alias("parent")).agg(F.sort_array(F.collect_list(F.struct("node", "digest"))).alias("own"))  # FANOUT entries at most
+    return own.select("level", F.col("parent").alias("node"), F.sha2(F.array_join("own.digest", ""), 256).alias("digest"))
+
+
+def _leaves(spark: SparkSession, path: str) -> DataFrame:
+    digest = F.sha2(F.concat("root", F.encode(F.col("n_tokens").cast("string"), "UTF-8")), 256)
+    return spark.read.parquet(f"{path}/recipes").select(F.lit(-1).alias("level"), F.col("position").alias("node"), digest.alias("digest"))
+
+
 def write_manifest(spark: SparkSession, path: str) -> None:
     """The tree over (root, n_tokens) of the recipes in order; each level is made from the one below until one node is left."""
-    below = spark.read.parquet(f"{path}/recipes").select(F.col("position").alias("node"), F.sha2(F.concat("root", F.encode(F.col("n_tokens").cast("string"), "UTF-8")), 256).alias("digest"))
-    level = 0
+    below, level = _leaves(spark, path), 0
     while True:
-        nodes = (
-            below.withColumn("parent", F.expr(f"node div {FANOUT}"))
-            .groupBy("parent")
-            .agg(F.sort_array(F.collect_list(F.struct("node", "digest"))).alias("own"))  # FANOUT entries at most
-            .select(F.lit(level).alias("level"), F.col("parent").alias("node"), (F.col("parent") * FANOUT ** (level + 1)).alias("first_position"), F.sha2(F.array_join("own.digest", ""), 256).alias("digest"))
-        )
+        nodes = _parents(below).select("level", "node", (F.col("node") * FANOUT ** (level + 1)).alias("first_position"), "digest")
         nodes.write.mode("append").parquet(f"{path}/manifest")
-        below = spark.read.parquet(f"{path}/manifest").filter(F.col("level") == level).select("node", "digest")
+        below = spark.read.parquet(f"{path}/manifest").filter(F.col("level") == level).select("level", "node", "digest")
         if below.limit(2).count() < 2:
             return
         level += 1
 
 
 def verify_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Nodes of the manifest that the recipes do not lead to: none in a sound store."""
-    again = f"{new_path(spark, 'manifest')}"
-    stored, recipes = spark.read.parquet(f"{path}/manifest"), spark.read.parquet(f"{path}/recipes")
-    recipes.write.parquet(f"{again}/recipes")
-    write_manifest(spark, again)
-    return stored.select("level", "node", "digest").exceptAll(spark.read.parquet(f"{again}/manifest").select("level", "node", "digest"))
+    """(level, node) of the manifest's nodes that are missing, superfluous or not the hash of what lies below them: none in a sound store.
+
+    Each level is held against the stored level below it, the lowest against the recipes, so a fault shows where it is.
+    """
+    stored = spark.read.parquet(f"{path}/manifest").select("level", "node", "digest")
+    top = stored.groupBy("level").agg(F.count("*").alias("n")).agg(F.max(F.struct("level", "n")).alias("t")).first()["t"]
+    whole = top is not None and top["n"] == 1  # then the last level is the root, with nothing above it
+    below = _leaves(spark, path).unionByName(stored.filter(F.col("level") < top["level"]) if whole else stored)
+    made = _parents(below).withColumnRenamed("digest", "made")
+    return made.join(stored, ["level", "node"], "full_outer").filter(~F.col("made").eqNullSafe(F.col("digest"))).select("level", "node")
+
+
+def unproven(spark: SparkSession, path: str) -> DataFrame:
+    """(leaf) of the lowest nodes with a fault on their way to the root."""
+    bad = cut(verify_manifest(spark, path), "faults")
+    levels = (spark.read.parquet(f"{path}/manifest").agg(F.max("level")).first()[0] or 0) + 2
+    leaves = _leaves(spark, path).select(F.expr(f"node div {FANOUT}").alias("leaf")).distinct()
+    way = leaves.select("leaf", F.posexplode(F.array(*[F.expr(f"leaf div {FANOUT**k}L") for k in range(levels)])).alias("level", "node"))
+    return way.join(bad, ["level", "node"], "left_semi").select("leaf").distinct()
 
 
 #: the CRC-32 polynomial of zlib, bits reversed: a fixed value
@@ -221,13 +267,13 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
         unpack = zstandard.ZstdDecompressor()
         for batch in it:
             rows = []
-            for digest, payload, wide in zip(*(batch.column(c).to_pylist() for c in ("digest", "payload", "wide")), strict=True):
+            for digest, payload, wide in zip(*(batch.column(c).to_pylist() for c in ("key", "payload", "wide")), strict=True):
                 ids = np.frombuffer(unpack.decompress(payload), "<u4" if wide else "<u2").astype("<u4").tobytes()
                 rows.append((digest, len(ids) // 4, ids, zlib.crc32(ids), hashlib.sha256(ids).digest() == digest))
             made = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(made, (pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.bool_()), strict=True)], ["digest", "n", "ids", "crc", "sound"])
 
-    return spark.read.parquet(f"{path}/chunks").select("digest", "payload", "wide").mapInArrow(run, "digest binary, n long, ids binary, crc long, sound boolean")
+    return objects(spark, path, "chunk").select("key", "payload", "wide").mapInArrow(run, "digest binary, n long, ids binary, crc long, sound boolean")
 
 
 def recipe_parts(spark: SparkSession, path: str) -> DataFrame:
@@ -261,7 +307,8 @@ def reconstruct(spark: SparkSession, path: str, positions: DataFrame | None = No
 def store_digests(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32, n_chunks, verified.
 
-    Every chunk file is read, its bytes held against its digest, and the recipe's digests against its Merkle root.
+    Every chunk file is read, its bytes held against its digest, the recipe's digests against its Merkle root, and that
+    root against the manifest up to its own root: a document is verified if all of these hold.
     The CRC-32 of a document is put together from those of its chunks, so no ids are shuffled.
     """
 
@@ -275,7 +322,9 @@ def store_digests(spark: SparkSession, path: str) -> DataFrame:
     read = joined.mapInArrow(shift, "position long, term long, n long, good boolean").groupBy("position")
     read = read.agg(F.expr("bit_xor(term)").alias("ids_crc32"), F.sum("n").alias("_n"), F.count("*").alias("n_chunks"), F.min("good").alias("_good"))
     recipes = spark.read.parquet(f"{path}/recipes").select("doc_id", "position", "start", "n_tokens", F.size("digests").alias("_size"))
-    good = F.col("_good") & (F.col("_n") == F.col("n_tokens")) & (F.col("_size") == F.col("n_chunks"))
+    faulty = cut(unproven(spark, path), "unproven").withColumn("_faulty", F.lit(True))
+    good = F.col("_good") & (F.col("_n") == F.col("n_tokens")) & (F.col("_size") == F.col("n_chunks")) & F.col("_faulty").isNull()
+    recipes = recipes.withColumn("leaf", F.expr(f"position div {FANOUT}")).join(faulty, "leaf", "left")
     return recipes.join(read, "position", "left").select("doc_id", "start", F.col("_n").alias("n_tokens"), "ids_crc32", "n_chunks", F.coalesce(good, F.lit(False)).alias("verified"))
 
 

@@ -6,6 +6,7 @@ import pytest
 from lodestack.llm import token_store as S
 from lodestack.llm.bpe import default_tokenizer
 from lodestack.llm.common import new_path
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 PICK = random.Random(5)
@@ -30,11 +31,70 @@ def test_store_reads_back(spark):
     whole = {r.position: bytes(r.ids) for r in S.reconstruct(spark, path).collect()}
     for k, (_, text) in enumerate(want):
         assert whole[k] == np.array([*tok.encode(text or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
-    digests = spark.read.parquet(f"{path}/chunks").count(), spark.read.parquet(f"{path}/chunks").select("digest").distinct().count()
+    digests = S.objects(spark, path, "chunk").count(), S.objects(spark, path, "chunk").select("key").distinct().count()
     assert digests[0] == digests[1] < sum(r.n_chunks for r in got) - 15  # the two long texts share chunks
     assert S.verify_manifest(spark, path).count() == 0
 
 
+@pytest.fixture(scope="module")
+def sound(spark):
+    """A store of 600 documents: three lowest nodes and a root."""
+    docs = spark.createDataFrame([(i, LONG[: 20 * i] if i % 9 == 0 else f"text number {i}") for i in range(600)], "doc_id long, text string")
+    return S.write_store(docs, new_path(spark, "t"))
+
+
+def tampered(spark, path, name, change):
+    """A copy of the store with one table changed."""
+    own = new_path(spark, "t")
+    for table in ("objects", "recipes", "manifest"):
+        df = spark.read.parquet(f"{path}/{table}")
+        df = change(df) if table == name else df
+        (df.write.partitionBy("kind") if table == "objects" else df.write).parquet(f"{own}/{table}")
+    return own
+
+
+def unverified(spark, path):
+    return {r.doc_id for r in S.store_digests(spark, path).filter("not verified").collect()}
+
+
+def test_sound(spark, sound):
+    assert unverified(spark, sound) == set() and S.verify_manifest(spark, sound).count() == 0
+    assert {(r.level, r.node) for r in spark.read.parquet(f"{sound}/manifest").collect()} == {(0, 0), (0, 1), (0, 2), (1, 0)}
+
+
+def test_altered_chunk(spark, sound):
+    key = S.recipe_parts(spark, sound).filter("position = 5").first().digest
+    other = S.objects(spark, sound, "chunk").filter(F.col("key") != F.lit(key)).first()
+    change = lambda df: df.withColumn("payload", F.when(F.col("key") == F.lit(key), F.lit(other.payload)).otherwise(F.col("payload")))
+    assert unverified(spark, tampered(spark, sound, "objects", change)) == {5}
+
+
+def test_missing_chunk(spark, sound):
+    key = S.recipe_parts(spark, sound).filter("position = 7").first().digest
+    assert unverified(spark, tampered(spark, sound, "objects", lambda df: df.filter(F.col("key") != F.lit(key)))) == {7}
+
+
+def test_altered_recipes(spark, sound):
+    """A recipe whose digests don't lead to its root; one whose root and digests agree, but not with the manifest."""
+    longer = S.recipe_parts(spark, sound).filter("idx = 1").agg(F.min("position")).first()[0]
+    own = tampered(spark, sound, "recipes", lambda df: df.withColumn("digests", F.when(F.col("position") == longer, F.reverse("digests")).otherwise(F.col("digests"))))
+    assert unverified(spark, own) == {longer}
+    first = spark.read.parquet(f"{sound}/recipes").filter("position = 1").first()
+    forge = lambda df: df.select(*[(F.when(F.col("position") == 300, F.array(F.lit(first.digests[0])) if c == "digests" else F.array(F.lit(first.lengths[0])) if c == "lengths" else F.lit(first[c])).otherwise(F.col(c)) if c in ("digests", "lengths", "root", "n_tokens") else F.col(c)).alias(c) for c in df.columns])
+    assert unverified(spark, tampered(spark, sound, "recipes", forge)) == set(range(256, 512))
+
+
+@pytest.mark.parametrize(("gone", "want"), [("level = 0 and node = 2", set(range(600))), ("level = 1", set(range(600)))])
+def test_missing_nodes(spark, sound, gone, want):
+    own = tampered(spark, sound, "manifest", lambda df: df.filter(f"not ({gone})"))
+    assert S.verify_manifest(spark, own).count() > 0 and unverified(spark, own) == want
+
+
+def test_superfluous_node(spark, sound):
+    own = tampered(spark, sound, "manifest", lambda df: df.unionByName(df.filter("level = 0 and node = 0").withColumn("node", F.lit(9).cast("long"))))
+    assert {(0, 9)} <= {(r.level, r.node) for r in S.verify_manifest(spark, own).collect()}
+
+
 def test_empty(spark):
     assert S.token_store(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
