@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -109,17 +110,20 @@ class Encoder:
         self.index, self.start, self.length = {}, np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.pool, self.filled = np.zeros(1 << 18, np.uint32), 0
 
-    def learn(self, key: int, ids) -> int:
-        i, n = len(self.index), len(ids)
-        if i == len(self.start):
-            self.start, self.length = np.resize(self.start, 2 * i), np.resize(self.length, 2 * i)
-        while self.filled + n > len(self.pool):
+    def learn(self, keys: list[int], ids: list) -> np.ndarray:
+        """The entries that these pieces have from now on."""
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        first, n = len(self.index), len(self.index) + len(ids)
+        while n > len(self.start):
+            self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
+        filled = self.filled + int(sizes.sum())
+        while filled > len(self.pool):
             self.pool = np.resize(self.pool, 2 * len(self.pool))
-        self.start[i], self.length[i] = self.filled, n
-        self.pool[self.filled : self.filled + n] = ids
-        self.filled += n
-        self.index[key] = i
-        return i
+        self.pool[self.filled : filled] = np.fromiter(chain.from_iterable(ids), np.uint32, filled - self.filled)
+        self.start[first:n], self.length[first:n] = self.filled + np.cumsum(sizes) - sizes, sizes
+        self.filled = filled
+        self.index.update(zip(keys, range(first, n), strict=True))
+        return np.arange(first, n)
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the whole batch, offset of each document's first id with the end)."""
@@ -139,13 +143,12 @@ class Encoder:
         if len(new):
             raw = data.tobytes()
             text = [raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
-            for k, key, ids in zip(new.tolist(), keys[new].tolist(), self.encode(text), strict=True):
-                own[k] = self.learn(key, ids)
+            own[new] = self.learn(keys[new].tolist(), self.encode(text))
         length, begin = self.length[own][where], self.start[own][where]
         if found:  # special tokens are pieces of their own
             for k in np.flatnonzero(np.isin(starts, list(found))).tolist():
                 i = self.index.get(-1 - found[int(starts[k])])
-                i = self.learn(-1 - found[int(starts[k])], [found[int(starts[k])]]) if i is None else i
+                i = int(self.learn([-1 - found[int(starts[k])]], [[found[int(starts[k])]]])[0]) if i is None else i
                 length[k], begin[k] = 1, self.start[i]
             extra = self._inside(starts, found)
             length[extra] = 0

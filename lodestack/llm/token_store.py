@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,30 +32,42 @@ from .pretokens import Encoder, classes
 
 END_ID = 0
 WINDOW, MIN_IDS, MEAN_IDS, MAX_IDS, FANOUT = 16, 128, 512, 2048, 256
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 21
 
 
-def chunk_ends(ids: np.ndarray) -> list[int]:
-    """Ends of content-defined chunks: a rolling hash of the last WINDOW ids picks them, at least MIN_IDS and at most MAX_IDS apart."""
+def chunk_marks(ids: np.ndarray) -> list[int]:
+    """Places that the rolling hash of the WINDOW ids before them picks; which ones does not depend on where the ids lie."""
     n = len(ids)
-    if n <= MIN_IDS:
-        return [n] if n else []
+    if n < WINDOW:
+        return []
     up, down = powers(n)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(mix(ids.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
     rolling = mix((total[WINDOW:] - total[:-WINDOW]) * down[: n - WINDOW + 1])
-    marks = np.flatnonzero((rolling >> np.uint64(40)) % np.uint64(MEAN_IDS - MIN_IDS) == 0) + WINDOW
-    ends, last = [], 0
-    while n - last > MIN_IDS:
-        k = np.searchsorted(marks, last + MIN_IDS)
-        end = min(int(marks[k]) if k < len(marks) else n, last + MAX_IDS, n)
+    return (np.flatnonzero((rolling >> np.uint64(40)) % np.uint64(MEAN_IDS - MIN_IDS) == 0) + WINDOW).tolist()
+
+
+def chunk_ends(begin: int, end: int, marks: list[int]) -> list[int]:
+    """Ends of the content-defined chunks of the ids from begin to end: the marks, at least MIN_IDS and at most MAX_IDS
+    apart. MIN_IDS is more than WINDOW, so no hash that counts reaches over a chunk's begin."""
+    ends, last = [], begin
+    while end - last > MIN_IDS:
+        k = bisect_left(marks, last + MIN_IDS)
+        last = min(marks[k] if k < len(marks) else end, last + MAX_IDS, end)
+        ends.append(last)
+    if last < end:
         ends.append(end)
-        last = end
-    if last < n:
-        ends.append(n)
     return ends
 
 
+def with_ends(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, offsets) with END_ID after the ids of each document."""
+    n = len(at) - 1
+    out = np.full(len(ids) + n, END_ID, "<u4")
+    out[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(at))] = ids
+    return out, at + np.arange(n + 1)
+
+
 def merkle(digests: list[bytes]) -> bytes:
     """Root of a binary Merkle tree; leaves and inner nodes are hashed apart, an odd node moves up. No leaves: SHA-256 of nothing."""
     level = [hashlib.sha256(b"\0" + d).digest() for d in digests]
@@ -71,7 +84,7 @@ def _encoder(spec, kinds) -> Encoder:
     tok.no_truncation()
     tok.no_padding()
     special = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
-    return Encoder(lambda xs: [e.ids for e in tok.encode_batch_fast(xs, add_special_tokens=False)], special, kinds.value)
+    return Encoder(lambda xs: [e.ids for e in tok.encode_batch_fast(xs, add_special_tokens=False)], special, kinds.value, keep=900_000)
 
 
 class _Same:
@@ -110,20 +123,20 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
         encoder, seen, pack = _encoder(shared, kinds), set(), zstandard.ZstdCompressor(1)
         task, row = TaskContext.get().partitionId(), 0
         for batch in batches(it, BATCH_BYTES):
-            ids, at = encoder(*text_buffer(batch.column("text")))
-            docs_of, chunks = ([], [], [], [], []), ([], [], [])
+            ids, at = with_ends(*encoder(*text_buffer(batch.column("text"))))
+            docs_of, chunks, marks, narrow = ([], [], [], [], []), ([], [], []), chunk_marks(ids), ids.astype("<u2")
+            raw = memoryview(ids).cast("B")
             for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                own = np.append(ids[a:b], np.uint32(END_ID)).astype("<u4")
-                last, digests, lengths = 0, [], []
-                for end in chunk_ends(own):
-                    part = own[last:end]
-                    digest = hashlib.sha256(part.tobytes()).digest()
+                last, digests, lengths = a, [], []
+                for end in chunk_ends(a, b, marks):
+                    part = raw[4 * last : 4 * end]
+                    digest = hashlib.sha256(part).digest()
                     if digest not in seen:
                         if len(seen) > 300_000:  # a later copy is then given by this task again, and dropped with those of other tasks
                             seen.clear()
                         seen.add(digest)
-                        wide = bool(part.max() > 0xFFFF)
-                        payload = pack.compress(part.tobytes() if wide else part.astype("<u2").tobytes())
+                        wide = bool(ids[last:end].max() > 0xFFFF)
+                        payload = pack.compress(part if wide else narrow[last:end])
                         for column, value in zip(chunks, (digest, payload, wide), strict=True):
                             column.append(value)
                     digests.append(digest)
@@ -131,7 +144,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
                     last = end
                 name = b"recipe" + task.to_bytes(8, "big") + row.to_bytes(8, "big")  # shorter than a digest
                 row += 1
-                for column, value in zip(docs_of, (name, len(own), merkle(digests), digests, lengths), strict=True):
+                for column, value in zip(docs_of, (name, b - a, merkle(digests), digests, lengths), strict=True):
                     column.append(value)
             n, k = len(docs_of[0]), len(chunks[0])
             yield pa.RecordBatch.from_arrays([

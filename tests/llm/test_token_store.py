@@ -102,10 +102,12 @@ def test_empty(spark):
 @pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 5000])
 def test_chunk_ends(n):
     ids = np.random.default_rng(n).integers(0, 50000, n).astype(np.uint32)
-    ends = S.chunk_ends(ids)
+    ends = S.chunk_ends(0, n, S.chunk_marks(ids))
+    moved = np.r_[np.arange(77, dtype=np.uint32), ids]
+    assert [e - 77 for e in S.chunk_ends(77, 77 + n, S.chunk_marks(moved))] == ends
     sizes = np.diff([0, *ends])
     assert (ends[-1] if n else 0) == n and all(S.MIN_IDS <= s <= S.MAX_IDS for s in sizes[:-1])
-    assert len(S.chunk_ends(np.zeros(n, np.uint32))) <= -(-n // S.MIN_IDS)
+    assert len(S.chunk_ends(0, n, S.chunk_marks(np.zeros(n, np.uint32)))) <= -(-n // S.MIN_IDS)
 
 
 def test_shift_crc():
