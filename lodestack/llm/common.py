@@ -55,6 +55,14 @@ def remove(*tables: DataFrame) -> None:
             delete(df.sparkSession, folder)
 
 
+def free_name(columns: list[str], wanted: str) -> str:
+    """A column name that none of these has, in any case."""
+    taken, name = {c.lower() for c in columns}, f"_{wanted}"
+    while name in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id) -> F.Column:
     """Rows that no model learns from: crc32 of the id as text, mod 4, is 2. A null id is held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(True))

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from ..functions.arrays import fold
+from .common import cut, free_name, table
 
 #: base patterns and their least lengths: fixed values
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -24,29 +25,28 @@ IDENT = r"(?i:access_?id|client_?id|account|username|user|login)[\"']?\x20*[:=]\
 VALUE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}+={0,2}(?!=*[A-Za-z0-9+/_-])"
 ENDPOINT = r"(?:https?://[A-Za-z0-9.-]+|\b(?:\d{1,3}\.){3}\d{1,3}(?::\d{2,5})?\b)"
 SCOPE = 200
+SPAN = "struct<start:int,end:int,kind:string>"
+SPANS = f"array<{SPAN}>"
 
 
 def spans(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
     """Array of (start, end, kind) of the pattern's leftmost non-overlapping matches, in code points.
 
-    The pieces between matches and the matches themselves alternate, so their running lengths are the places.
+    The pieces between matches and the matches themselves alternate, so their running lengths are the places. Each
+    regular expression runs over a text once, and the running lengths are summed in blocks, so a text of very many
+    matches takes time in proportion.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    between = F.split(text, pattern, -1)
+    lengths = F.transform(F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), part.alias("part")), lambda z: F.struct(F.length(z["gap"]).alias("gap"), F.length(z["whole"]).alias("size"), F.length(z["part"]).alias("part")))
 
-    def step(acc: Column, k: Column) -> Column:
-        start = acc["at"] + F.length(F.get(between, k))
-        end = start + F.length(F.get(whole, k))
+    def step(at: Column, z: Column) -> tuple[Column, Column]:
+        start = at + z["gap"]
+        end = start + F.coalesce(z["size"], F.lit(0))  # after the last gap there is no match
         own = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind")))
-        keep = F.length(F.get(part, k)) >= least
-        return F.struct(end.alias("at"), F.when(keep, F.concat(acc["found"], own)).otherwise(acc["found"]).alias("found"))
+        return end, F.when(z["part"] >= least, own).otherwise(F.array().cast(SPANS))
 
-    kind_of = "array<struct<start:int,end:int,kind:string>>"
-    none = F.array().cast(kind_of)
-    zero = F.struct(F.lit(0).alias("at"), none.alias("found"))
-    found = F.aggregate(F.sequence(F.lit(0), F.size(whole) - 1), zero, step, lambda acc: acc["found"])
-    return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(none).cast(kind_of)
+    return F.when(F.regexp_like(text, F.lit(pattern)), fold(lengths, F.lit(0), "int", step, SPAN)).otherwise(F.array().cast(SPANS)).cast(SPANS)
 
 
 def order(found: Column) -> Column:
@@ -77,12 +77,14 @@ def link(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
     An identifier needs a secret value or a base span in scope; a value needs an identifier, an endpoint or an access
     key. Parts inside a base span are part of that span.
     """
-    rows = scanned.select("key", "base", "parts").filter(F.size("parts") > 0).dropDuplicates(["key"])
-    free = F.filter("parts", lambda p: ~F.exists("base", lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"])))
-    weak = rows.select("key", F.explode(free).alias("p")).select("key", "p.*")
+    rows = cut(scanned.select("key", "base", "parts").filter(F.size("parts") > 0).dropDuplicates(["key"]), "linking")
+    weak = rows.select("key", F.explode("parts").alias("p")).select("key", "p.*")
     strong = rows.select("key", F.explode("base").alias("p")).select("key", "p.*")
-    every = weak.unionByName(strong)
     cells = lambda start, end: F.explode(F.sequence(F.floor(start / scope), F.floor(end / scope)))
+    over = strong.withColumn("cell", cells(F.col("start"), F.col("end") - 1)).select("key", "cell", F.col("start").alias("_start"), F.col("end").alias("_end"))
+    inside = weak.withColumn("cell", cells(F.col("start"), F.col("end") - 1)).join(over, ["key", "cell"]).filter("_start < end and start < _end")
+    weak = weak.join(inside.select("key", "start", "end", "kind").distinct(), ["key", "start", "end", "kind"], "left_anti").select("key", "start", "end", "kind")
+    every = weak.unionByName(strong)
     near = every.withColumn("cell", cells(F.col("start") - scope, F.col("end") + scope))
     near = near.select("key", "cell", *[F.col(c).alias(f"o_{c}") for c in ("start", "end", "kind")])
     close = (F.col("o_start") <= F.col("end") + scope) & (F.col("start") <= F.col("o_end") + scope)
@@ -96,7 +98,7 @@ def secret_spans(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Per row: doc_id, key, base and all (arrays of start, end, kind; in order)."""
     scanned = scan(docs)
     found = scanned.select("doc_id", "key", "base").join(link(scanned, scope), "key", "left")
-    return found.select("doc_id", "key", order(F.col("base")).alias("base"), order(F.concat("base", F.coalesce("weak", F.array().cast("array<struct<start:int,end:int,kind:string>>")))).alias("all"))
+    return found.select("doc_id", "key", order(F.col("base")).alias("base"), order(F.concat("base", F.coalesce("weak", F.array().cast(SPANS)))).alias("all"))
 
 
 def secret_report(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -113,28 +115,31 @@ def secret_report(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 def redact(text: Column, found: Column) -> Column:
     """The text with each found span, overlapping ones as one, replaced by [kind]."""
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.when(s["start"] > acc["at"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"])).otherwise("")
-        mark = F.when(s["start"] >= acc["at"], F.concat(F.lit("["), s["kind"], F.lit("]"))).otherwise("")
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap, mark).alias("out"))
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        gap = F.when(s["start"] > at, F.substring(text, at + 1, s["start"] - at)).otherwise("")
+        mark = F.when(s["start"] >= at, F.concat(F.lit("["), s["kind"], F.lit("]"))).otherwise("")
+        return F.greatest(at, s["end"]), F.array(gap, mark)
 
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate(found, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    pieces = fold(found, F.lit(0), "int", step, "string")
+    clean = F.concat(F.array_join(pieces, ""), F.substring(text, F.array_max(F.transform(found, lambda s: s["end"])) + 1, F.length(text)))
     return F.when(F.size(found) > 0, clean).otherwise(text)
 
 
 def redact_documents(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """The documents with secrets replaced and n_chars recounted where a text changed; null texts stay null, no row is lost.
+    """The documents with secrets replaced and n_chars recounted where a text changed; no row is lost.
 
-    Only texts with a finding meet the spans in a join; the others pass by. All other columns are kept as they are.
+    Only texts with a finding meet the spans in a join; the others pass by, null and empty ones among them. Rows that
+    repeat are each redacted, and rows with a null doc_id as any other; an empty table stays empty. All other columns
+    are kept as they are, whatever their names.
     """
-    found = cut(secret_spans(docs, scope).filter(F.size("all") > 0).select("key", "all").dropDuplicates(["key"]), "found")
-    text = F.col("text")
+    spotted = secret_spans(docs, scope)
+    found = cut(spotted.filter(F.size("all") > 0).select("key", "all").dropDuplicates(["key"]), "found")
+    text, cols = F.col("text"), docs.columns
+    name, spans_of = free_name(cols, "key"), free_name(cols, "spans")
     key = F.to_json(F.struct(F.col("doc_id"), F.xxhash64("text").alias("hash"), F.length("text").alias("length")))
-    cols = docs.columns
-    joined = docs.withColumn("_key", F.when(text.isNotNull(), key)).join(found.withColumnsRenamed({"key": "_key", "all": "_found"}), "_key", "left")
-    changed = F.col("_found").isNotNull()
-    joined = joined.withColumn("text", F.when(changed, redact(text, F.col("_found"))).otherwise(text))
+    joined = docs.withColumn(name, F.when(text.isNotNull(), key)).join(found.withColumnsRenamed({"key": name, "all": spans_of}), name, "left")
+    changed = F.col(spans_of).isNotNull()
+    joined = joined.withColumn("text", F.when(changed, redact(text, F.col(spans_of))).otherwise(text))
     if "n_chars" in cols:
         joined = joined.withColumn("n_chars", F.when(changed, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
     return joined.select(*cols)
