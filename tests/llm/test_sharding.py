@@ -34,6 +34,50 @@ def test_minimax(spark, n, shards, seed):
     for key, size in groups:
         loads[sum(c < key for c in cuts)] += size
     assert len(cuts) < shards and max(loads.values()) <= capacity
+    largest, share = max(b for _, b in groups), sum(b for _, b in groups) / shards
+    if largest <= share:
+        assert len(loads) == shards and min(loads.values()) >= share - 2 * largest
+
+
+@pytest.mark.parametrize(("n", "shards"), [(40, 40), (41, 40), (79, 40), (90, 40), (7, 3)])
+def test_no_shard_is_empty(spark, n, shards):
+    rows = [(k, f"{k:05d}") for k in range(n)]
+    load = check(rows, S.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), shards).collect(), shards)
+    assert len(load) == shards and max(load.values()) <= -(-n // shards) * 21 and min(load.values()) >= n // shards * 21
+
+
+def best_spread(sizes, shards):
+    """Brute force: the greatest least load over all contiguous partitions with the smallest greatest one."""
+    from functools import lru_cache
+    from itertools import accumulate
+
+    total, top = [0, *accumulate(sizes)], least_capacity(sizes, shards)
+
+    @lru_cache(None)
+    def least(i, left):
+        if left == 1:
+            return total[-1] - total[i] if 0 < total[-1] - total[i] <= top else -1
+        return max((min(total[j] - total[i], least(j, left - 1)) for j in range(i + 1, len(sizes)) if total[j] - total[i] <= top), default=-1)
+
+    return top, least(0, shards)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_spread_against_brute_force(spark, seed):
+    pick = random.Random(seed)
+    groups = sorted({pick.getrandbits(60): pick.randint(20, 60) for _ in range(60)}.items())
+    top, least = best_spread([b for _, b in groups], 8)
+    capacity, cuts = S.minimax_cuts(spark.createDataFrame(groups, "key long, bytes long"), 8)
+    loads = defaultdict(int)
+    for key, size in groups:
+        loads[sum(c < key for c in cuts)] += size
+    assert capacity == top and max(loads.values()) <= top and len(loads) == 8
+    assert least - 60 <= min(loads.values()) <= least  # one group at most from the best least load
+
+
+def test_null_and_repeated_ids(spark):
+    rows = [(None, f"t{k}") for k in range(300)] + [(5, None)] * 200 + [(5, f"u{k}") for k in range(300)]
+    check(rows, S.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 6).collect(), 6)
 
 
 def check(rows, got, shards):
