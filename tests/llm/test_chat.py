@@ -4,120 +4,146 @@ import re
 from lodestack.llm import chat as C
 
 PUNCT = re.compile(r"[\s!-/:-@\[-`{-~]+")
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def normal(text):
+    return PUNCT.sub(" ", text.lower()).strip(" ")
 
 
 def parse(text):
     out = []
     for raw in re.split(r"\r?\n", text or ""):
         marks = re.match(r"[ \t]*((?:>[ \t]?)+)", raw)
-        level, plain = (marks[1].count(">"), raw[marks.end() :]) if marks else (0, raw)
-        out.append((level, plain, PUNCT.sub(" ", plain.lower()).strip(" ")))
+        out.append((marks[1].count(">"), raw[marks.end() :]) if marks else (0, raw))
     return out
 
 
+def shingles(words):
+    w = words.split(" ") if words else []
+    return {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+
+def said_by(text):
+    own = "\n".join(p if not level else "" for level, p in parse(text))
+    whole = {normal(x) for x in [*own.split("\n"), *re.split(r"\n\s*\n", own), own]} - {""}
+    return whole, shingles(normal(own)) | whole
+
+
+def passages(text):
+    out, last = [], None
+    for no, (level, plain) in enumerate(parse(text)):
+        if level != last and level:
+            out.append((level, no, []))
+        if level:
+            out[-1][2].append(plain)
+        last = level
+    return [(level, no, normal(" ".join(own))) for level, no, own in out if normal(" ".join(own))]
+
+
 def brute(messages):
-    """Originals and threads of one conversation whose turns and lines are distinct, by plain loops."""
-    first, rows = {}, []
+    """One conversation of distinct turns by plain loops, from the rules as format_chats and link_quotes state them."""
     messages = sorted(messages)
-    for turn, _, text in messages:
-        for level, _, said in parse(text):
-            if not level and said:
-                first.setdefault(said, turn)
-    thread = thread_at = None
-    for k, (turn, role, text) in enumerate(messages):
-        lines, runs = parse(text), []
-        last = None
-        for no, (level, _, said) in enumerate(lines):
-            if level and said:
-                if last and last[0] + 1 == no and last[1] == level:
-                    runs[-1][2].append(said)
-                else:
-                    runs.append((level, no, [said]))
-                last = (no, level)
+    says, rows, children, parent = [said_by(text) for _, _, text in messages], [], {}, {}
+    for k, (_, _, text) in enumerate(messages):
         found = []
-        for level, no, said in runs:
-            votes = {}
-            for s in said:
-                if (t := first.get(s)) is not None and t < turn:
-                    votes[t] = votes.get(t, 0) + 1
-            if votes:
-                found.append((level, no, max(votes, key=lambda t: (votes[t], t))))
-        before = messages[k - 1][0] if k else None
-        reply = min(found)[2] if found else before
-        if k == 0 or (found and reply != before):
-            thread, thread_at = turn, k
-        body = "\n".join(p for level, p, _ in lines if not level)
-        body = body.strip() if any(level for level, _, _ in lines) else (text or "")
-        rows.append((turn, role, body, max(level for level, _, _ in lines), len(found), reply, thread, k - thread_at, k))
-    return rows
+        for level, no, words in passages(text):
+            to = max((i for i in range(k) if words in says[i][0]), default=None)
+            if to is None:
+                own = shingles(words)
+                named = {max((i for i in range(k) if s in says[i][1]), default=None) for s in own} - {None}
+                share, to = max(((len(own & says[i][1]) / len(own), i) for i in named), default=(0, None))
+                to = to if share >= 0.8 else None
+            if to is not None:
+                found.append((level, no, to))
+        parent[k] = min(found)[2] if found else k - 1
+        children.setdefault(parent[k], []).append(k)
+        lines = parse(text)
+        body = "\n".join(p for level, p in lines if not level)
+        rows.append([body.strip() if any(level for level, _ in lines) else (text or ""), max(level for level, _ in lines), len(found)])
+    order, stack = [], [0]
+    while stack:
+        at = stack.pop()
+        order.append(at)
+        stack += reversed(children.get(at, []))
+    place, depth, thread, out = {k: n for n, k in enumerate(order)}, {}, {}, []
+    for k, (turn, role, _) in enumerate(messages):
+        depth[k] = 0 if k == 0 else depth[parent[k]] + 1
+        thread[k] = k if k == 0 or parent[k] != k - 1 else thread[k - 1]
+        out.append((turn, role, *rows[k], messages[parent[k]][0] if k else None, messages[thread[k]][0], depth[k], k, place[k]))
+    return out
+
+
+def compare(spark, convs):
+    rows = [(conv, *m, "clash", 1) for conv, messages in convs.items() for m in messages]
+    rows += [(conv, *messages[0], "clash", 1) for conv, messages in convs.items()]  # repeated
+    got = C.format_chats(spark.createDataFrame(rows, SCHEMA + ", thread string, position int")).collect()
+    want = [(conv, *r) for conv, messages in convs.items() for r in brute(messages)]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    for g, w in zip(sorted((tuple(r) for r in got), key=key), sorted(want, key=key), strict=True):
+        assert g == w
+    return got
 
 
 def test_against_brute_force(spark):
-    pick = random.Random(2)
-    rows, want = [], []
-    for conv in [*range(30), None]:
-        messages, lines, n = [], [], pick.choice([1, 4, 9, 150])
+    pick, convs = random.Random(2), {}
+    for conv in [*range(25), None]:
+        messages, texts, n = [], [], pick.choice([1, 4, 9, 150])
         for turn in range(n):
             text = []
             for _ in range(pick.randint(0, 2)):
-                if lines:
-                    a = pick.randrange(len(lines))
-                    mark = pick.choice(["> ", ">> ", "> > ", ">"])
-                    text += [mark + x.upper().replace(" ", "  ") + "!" for x in lines[a : a + pick.randint(1, 3)]] + pick.choice([[], ["> never said before"], ["   "]])
-            own = [f"line {conv} {turn} {k}" for k in range(pick.randint(0, 3))]
-            lines += own
+                if texts:
+                    words = pick.choice(texts).upper().replace(" ", "  ").split()
+                    a = pick.choice([0, 0, pick.randrange(len(words))])
+                    words = words[a : a + pick.choice([len(words), 7, 12])]
+                    if len(words) > 6 and pick.random() < 0.3:
+                        words[-1] = "altered"
+                    cut, mark = pick.randrange(len(words) + 1), pick.choice(["> ", ">> ", "> > ", ">"])
+                    text += [mark + " ".join(w) + "!" for w in (words[:cut], words[cut:]) if w] + pick.choice([[], ["> never said before"], ["   "], [""]])
+            own = [" ".join(pick.choice(["red", "green", "blue", f"w{conv}", f"t{turn}", f"n{k}"]) for k in range(pick.choice([1, 4, 5, 20]))) for _ in range(pick.randint(0, 3))]
+            texts += own
             messages.append((turn, pick.choice(["user", "assistant"]), "\n".join(text + own) if pick.random() > 0.03 else None))
-        rows += [(conv, *m, "clash", 1) for m in messages] + [(conv, *messages[0], "clash", 1)]
-        want += [(conv, *r) for r in brute(messages)]
-    got = C.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, thread string, position int")).collect()
-    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+        convs[conv] = messages
+    got = compare(spark, convs)
     assert sum(r.linked_quotes for r in got) > 100 and len({r.thread for r in got}) > 5
-    for g, w in zip(sorted((tuple(r) for r in got), key=key), sorted(want, key=key), strict=True):
-        assert g == w
+    assert sum(r.position != r.reply_position for r in got) > 100
+
+
+def test_reply_order_is_not_turn_order(spark):
+    texts = ["first thing", "second thing", "third thing", "> first thing\nto the first", "> second thing\nto the second", "on", "> third thing\nto the third", "> second thing\nagain"]
+    got = compare(spark, {1: [(k, "user", t) for k, t in enumerate(texts)]})
+    assert [r.turn for r in sorted(got, key=lambda r: r.reply_position)] == [0, 1, 2, 6, 4, 5, 7, 3]
+    by = {r.turn: r for r in got}
+    assert (by[4].depth, by[5].depth, by[6].depth, by[3].depth) == (2, 3, 3, 1)
+    order = [r.turn for r in sorted(got, key=lambda r: r.reply_position)]
+    assert order.index(3) == 7 and order.index(6) < order.index(4) < order.index(7)
+
+
+def test_quotes_however_wrapped(spark):
+    texts = ["a quoted line of several words\nHi", "Hi", "> a quoted line\n> of several words", "> Hi", "one two three four five six seven eight nine ten", "x", "> one two three four five six seven eight nine eleven", "> five six nothing eight nine ten"]
+    got = {r.turn: r for r in compare(spark, {1: [(k, "user", t) for k, t in enumerate(texts)]})}
+    assert [got[k].reply_to for k in (2, 3, 6, 7)] == [0, 1, 4, 6]
+    assert [got[k].linked_quotes for k in (2, 3, 6, 7)] == [1, 1, 1, 0]
+
+
+def test_common_lines(spark):
+    """A passage of lines that many say links to the message that says it as a whole."""
+    compare(spark, {1: [(1, "user", "Hi\nThanks"), (5, "user", "Hi\nthe content\nThanks"), (6, "user", "Hi"), (7, "user", "> Hi\n> the content\n> Thanks\nyes"), (9, "user", "> hi\n>> thanks\n> Hi")]})
 
 
 def test_edges(spark):
-    assert C.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
-    rows = [(1, None, None, None), (1, 0, "user", ""), (1, 0, "assistant", "x"), (2, 5, "user", "> " * 50 + "deep"), (2, 6, "user", "a\n" * 20_000)]
-    got = C.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
-    assert len(got) == 5 and max(r.quote_depth for r in got) == 50
+    assert C.format_chats(spark.createDataFrame([], SCHEMA)).count() == 0
+    rows = [(1, None, None, None), (1, 0, "user", ""), (1, 0, "assistant", "x"), (2, 5, "user", "> " * 50 + "deep"), (2, 6, "user", "a\n" * 20_000), (2, 7, "user", "> a\n" * 20_000), (3, -70, "user", "below"), (3, -3, "user", "> below")]
+    got = C.format_chats(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == 8 and max(r.quote_depth for r in got) == 50
     assert sorted(r.position for r in got if r.conv_id == 1) == [0, 1, 2]
+    assert {(r.turn, r.reply_to) for r in got if r.conv_id == 2} == {(5, None), (6, 5), (7, 6)}
+    assert {(r.turn, r.reply_to) for r in got if r.conv_id == 3} == {(-70, None), (-3, -70)}
 
 
 def test_no_cell_takes_a_long_conversation(spark):
     n = 3 * C.CELL + 5
     rows = [(1, k, "user", f"> first\nline {k}" if k in (7, 2 * C.CELL + 3) else ("first" if k == 0 else f"line {k}")) for k in range(n)]
-    got = {r.turn: r for r in C.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    got = {r.turn: r for r in C.format_chats(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert [got[k].thread for k in (0, 6, 7, 2 * C.CELL, 2 * C.CELL + 3, n - 1)] == [0, 0, 7, 7, 2 * C.CELL + 3, 2 * C.CELL + 3]
     assert got[7].reply_to == 0 and got[8].reply_to == 7 and [got[k].position for k in range(n)] == list(range(n))
-
-
-def original(messages, turn, passage):
-    """The earlier turn that says most lines of the passage; of several the last."""
-    says = {t: {said for level, _, said in parse(text) if not level and said} for t, _, text in messages if t < turn}
-    votes = {t: sum(line in own for line in passage) for t, own in says.items()}
-    best = max(votes, key=lambda t: (votes[t], t), default=None)
-    return best if best is not None and votes[best] else None
-
-
-def test_lines_that_several_messages_say(spark, monkeypatch):
-    monkeypatch.setattr(C, "SAID", 4)
-    pick = random.Random(3)
-    convs = {0: [(1, "user", "Hi\nThanks"), (5, "user", "Hi\nthe content\nThanks"), (6, "user", "other"), (7, "user", "> Hi\n> the content\n> Thanks\nyes")]}
-    for conv in range(1, 12):
-        messages = []
-        for turn in range(40):
-            own = [pick.choice(["hi", "thanks", "a", "b", "c", "d"]) for _ in range(pick.randint(1, 3))] + [f"t{turn}"]
-            quote = [f"> {x}" for x in pick.choice(messages)[2].split("\n") if x[0] != ">"][: pick.randint(0, 4)] if messages else []
-            messages.append((turn, "user", "\n".join(quote + own)))
-        convs[conv] = messages
-    rows = [(conv, *m) for conv, messages in convs.items() for m in messages]
-    got = {(r.conv_id, r.turn): r for r in C.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
-    assert got[0, 7].reply_to == 5
-    linked = 0
-    for conv, messages in convs.items():
-        for k, (turn, _, text) in enumerate(messages):
-            to = original(messages, turn, [said for level, _, said in parse(text) if level])
-            assert got[conv, turn].reply_to == (to if to is not None else messages[k - 1][0] if k else None)
-            linked += to is not None
-    assert linked > 100
