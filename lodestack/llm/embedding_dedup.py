@@ -15,16 +15,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, remove, table
 from .components import components
 from .kernels import mix
 
 COSINE = 0.9
 #: trees; share of a node's vectors that go to both sides, on either side of the split; vectors a leaf aims at
-TREES, SPILL, LEAF = 24, 0.07, 256
+TREES, SPILL, LEAF = 12, 0.07, 256
 #: a tree, and later each part of it that is still too large, is fitted on so many of its vectors; every vector is placed
 SAMPLE = 8192
-MOST_ROUNDS = 6
+MOST_ROUNDS = 40
+#: vectors of a large leaf that one task puts into its smaller ones
+PLACED = 50_000
 #: a place is dense if a sampled vector has so many sampled ones within the cosine, standing for more than a large leaf
 DENSE_SEEN = 16
 #: vectors of a ball that one task compares with as many others, and the least that it is cut to
@@ -96,18 +98,21 @@ def _leaf_id(parent: int, seed: int, leaf: int) -> int:
 
 
 def fingerprints(vectors: DataFrame) -> DataFrame:
-    """vec_id and a digest of the vector; vectors that cannot link have none."""
+    """vec_id, digest of the vector, width and embedding; vectors that cannot link have a null digest and no embedding."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            digests = []
+            digests, widths, keep = [], [], []
             for row in batch.column("embedding").to_pylist():
                 own = np.array(row, np.float64) if row and None not in row else np.zeros(0)
                 usable = len(own) and np.isfinite(own).all() and own.any()
                 digests.append(hashlib.sha256(own.tobytes()).digest()[:20] if usable else None)
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(digests, pa.binary())], ["vec_id", "digest"])
+                widths.append(len(own))
+                keep.append(row if usable else None)
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(digests, pa.binary()), pa.array(widths, pa.int32()), pa.array(keep, batch.column("embedding").type)], ["vec_id", "digest", "width", "embedding"])
 
-    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(run, "vec_id long, digest binary")
+    kind = dict(vectors.dtypes)["embedding"]
+    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(run, f"vec_id long, digest binary, width int, embedding {kind}")
 
 
 def _sampled(rows: DataFrame, count: int, sample: int = SAMPLE) -> DataFrame:
@@ -264,6 +269,7 @@ def split_large(placed: DataFrame, leaf: int, round_: int) -> DataFrame | None:
         return None
     kind = dict(placed.dtypes)["embedding"]
     inside = cut(placed.select("node", "embedding", F.explode("leaves").alias("leaf")).join(sizes, "leaf"), "inside")
+    deal = F.ceil(F.col("n") / PLACED).cast("long")
     few = inside.filter(F.pmod(F.xxhash64(F.lit("forest"), "node", "leaf"), F.lit(1 << 20)) < F.greatest(F.lit(1), (F.lit(SAMPLE // 2) * (1 << 20) / F.col("n")).cast("long")))
 
     def fit(rows: pa.Table) -> pa.Table:
@@ -273,123 +279,141 @@ def split_large(placed: DataFrame, leaf: int, round_: int) -> DataFrame | None:
         return pa.table({"leaf": [parent], "tree": [pickle.dumps(tree)]})
 
     def place(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, tree = None, None
+        tree = None  # a tree comes before the vectors of its leaf
         for batch in it:
-            x, _ = unit(batch.column("embedding"))
-            parents, out = np.array(batch.column("leaf").to_pylist(), np.int64), []
-            nodes = batch.column("node").to_pylist()
-            for parent in np.unique(parents).tolist():
-                own = np.flatnonzero(parents == parent)
-                if parent != last:
-                    last, tree = parent, pickle.loads(batch.column("tree")[int(own[0])].as_py())
-                for k, rows in tree.place(x[own]):
-                    out += [(nodes[own[r]], _leaf_id(parent, round_, k)) for r in rows.tolist()]
+            out = []
+            parents, trees = np.array(batch.column("leaf").to_pylist(), np.int64), batch.column("tree")
+            nodes, a = batch.column("node").to_pylist(), 0
+            while a < len(parents):
+                if trees[a].is_valid:
+                    tree, a = pickle.loads(trees[a].as_py()), a + 1
+                    continue
+                b = a + 1
+                while b < len(parents) and parents[b] == parents[a] and not trees[b].is_valid:
+                    b += 1
+                x, _ = unit(batch.column("embedding").slice(a, b - a))
+                for k, rows in tree.place(x):
+                    leaf_id = _leaf_id(int(parents[a]), round_, k)
+                    out += [(nodes[a + r], leaf_id) for r in rows.tolist()]
+                a = b
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], ["node", "leaf"])
 
     trees = cut(few.select("leaf", "n", "embedding").groupBy("leaf").applyInArrow(fit, "leaf long, tree binary"), "trees")
-    new = inside.select("node", "embedding", "leaf").join(trees, "leaf").mapInArrow(place, "node long, leaf long")
+    # each tree goes once to every part of its leaf, ahead of that part's vectors
+    heads = trees.join(sizes, "leaf").select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), deal - 1)).alias("part"), F.lit(None).cast("long").alias("node"), F.lit(None).cast(kind).alias("embedding"), "tree")
+    rows = inside.select("leaf", F.pmod(F.xxhash64(F.lit("part"), "node"), deal).alias("part"), "node", "embedding", F.lit(None).cast("binary").alias("tree"))
+    new = heads.unionByName(rows).repartition("leaf", "part").sortWithinPartitions("leaf", "part", F.col("tree").isNull(), "node").mapInArrow(place, "node long, leaf long")
     old = placed.select("node", F.explode("leaves").alias("leaf")).join(sizes.select("leaf"), "leaf", "left_anti").select("node", "leaf")
     leaves = old.unionByName(new).groupBy("node").agg(F.collect_set("leaf").alias("leaves"))  # leaves of one vector: a small multiple of the trees
     return placed.drop("leaves").join(leaves, "node").select("node", "copies", F.col("embedding").cast(kind), "leaves")
 
 
+def classes(hit: np.ndarray) -> np.ndarray:
+    """The smallest row that each row of a symmetric table of links is connected to."""
+    root = np.full(len(hit), -1)
+    for k in np.flatnonzero(hit.any(axis=1)):
+        if root[k] >= 0:
+            continue
+        root[k], new = k, np.array([k])
+        while len(new):
+            new = np.flatnonzero(hit[new].any(axis=0) & (root < 0))
+            root[new] = k
+    return np.where(root < 0, np.arange(len(hit)), root)
+
+
 def link_leaves(placed: DataFrame, cosine: float) -> DataFrame:
-    """(node, root, links): by leaf, each vector with the smallest one it is connected to inside, and how many linked
-    vectors, copies included, it has in pairs that no other leaf of smaller id holds too. One row a vector and leaf."""
+    """(node, root, links): by leaf, each linked vector with the smallest one it is connected to inside, and how many
+    linked vectors, copies included, it has in pairs that no leaf of smaller id holds too.
+
+    A row in a leaf carries the vector and the smaller ids among its leaves, nothing else.
+    """
 
     def run(rows: pa.Table) -> pa.Table:
-        leaf = rows["leaf"][0].as_py()
         x, good = unit(rows["embedding"].combine_chunks())
-        x = x[good]
-        nodes, copies = (rows[c].to_numpy()[good] for c in ("node", "copies"))
-        own = [frozenset(i for i in r if i < leaf) for r, g in zip(rows["leaves"].to_pylist(), good, strict=True) if g]
-        root, links = np.arange(len(x)), np.zeros(len(x), np.int64)
-
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        before = None
-        for a in range(0, len(x), 512):
-            hit = x[a : a + 512] @ x.T >= cosine
-            i, j = np.nonzero(hit)
-            i += a
-            i, j = i[i < j], j[i < j]
-            if not len(i):
-                continue
-            if len(i) > 4000 and before is None:  # memberships in earlier leaves as a table
-                names = {n: k for k, n in enumerate(sorted(set().union(*own)))}
-                before = np.zeros((len(x), len(names)), np.float32)
-                for k, s in enumerate(own):
-                    before[k, [names[n] for n in s]] = 1
-            if before is not None:
-                met = (before[a : a + 512] @ before.T)[i - a, j] > 0
-            else:
-                met = np.array([not own[p].isdisjoint(own[q]) for p, q in zip(i.tolist(), j.tolist(), strict=True)], bool)
-            np.add.at(links, i[~met], copies[j[~met]])
-            np.add.at(links, j[~met], copies[i[~met]])
-            for p, q in zip(i.tolist(), j.tolist(), strict=True):
-                p, q = find(p), find(q)
-                if p != q:
-                    p, q = (p, q) if nodes[p] < nodes[q] else (q, p)
-                    root[q] = p
-        return pa.table({"node": nodes, "root": nodes[[find(k) for k in range(len(x))]] if len(x) else nodes, "links": links})
-
-    rows = placed.select("node", "copies", "embedding", "leaves", F.explode("leaves").alias("leaf"))
+        order = np.argsort(rows["node"].to_numpy(), kind="stable")
+        order = order[good[order]]
+        x, nodes, copies = x[order], rows["node"].to_numpy()[order], rows["copies"].to_numpy()[order]
+        hit = x @ x.T >= cosine
+        np.fill_diagonal(hit, False)
+        linked = np.flatnonzero(hit.any(axis=1))
+        if not len(linked):
+            return pa.table({"node": nodes[:0], "root": nodes[:0], "links": copies[:0]})
+        nodes, copies, hit = nodes[linked], copies[linked], hit[np.ix_(linked, linked)]
+        earlier = rows["earlier"].take(pa.array(order[linked])).combine_chunks()
+        fresh = hit.copy()
+        every, where = np.unique(earlier.flatten().to_numpy(), return_inverse=True)
+        if len(every):
+            own = np.repeat(np.arange(len(linked)), np.diff(earlier.offsets.to_numpy()))
+            for a in range(0, len(every), 1024):  # memberships in earlier leaves, some leaves at a time
+                inside = np.zeros((len(linked), min(1024, len(every) - a)), np.float32)
+                mine = (where >= a) & (where < a + 1024)
+                inside[own[mine], where[mine] - a] = 1
+                fresh &= ~(inside @ inside.T > 0)
+        return pa.table({"node": nodes, "root": nodes[classes(hit)], "links": fresh @ copies})
+
+    rows = placed.select("node", "copies", "embedding", F.array_sort("leaves").alias("leaves")).select("node", "copies", "embedding", "leaves", F.posexplode("leaves").alias("at", "leaf"))
+    rows = rows.select("leaf", "node", "copies", "embedding", F.slice("leaves", F.lit(1), F.col("at")).alias("earlier"))
     return rows.groupBy("leaf").applyInArrow(run, "node long, root long, links long")
 
 
+def link_width(nodes: DataFrame, count: int, cosine: float, trees: int, leaf: int) -> DataFrame:
+    """(node, root, links) of vectors (node, copies, embedding) of one length."""
+    centres, rest = sampled_centres(nodes, count, cosine, leaf), nodes
+    if len(centres):
+        rest = cut(deal(nodes, centres, cosine).filter("ball < 0").select("node", "copies", "embedding"), "rest")
+        count = rest.count()
+    placed = cut(plant(rest, count, trees, leaf), "placed")
+    for round_ in range(1, MOST_ROUNDS):
+        while (more := crowded_centres(placed, leaf, cosine)) is not None and len(more):
+            centres = np.concatenate([centres, more]) if len(centres) else more
+            fewer = cut(deal(placed, more, cosine).filter("ball < 0").drop("ball", "halo"), "placed")
+            remove(placed)
+            placed = fewer
+        smaller = split_large(placed, leaf, round_)
+        if smaller is None:
+            break
+        smaller = cut(smaller, "placed")
+        remove(placed)
+        placed = smaller
+    else:
+        raise RuntimeError(f"leaves of more than {4 * leaf} vectors are left after {MOST_ROUNDS} rounds of splitting")
+    found = cut(link_leaves(placed, cosine), "links")
+    remove(placed)
+    if len(centres):
+        found = found.unionByName(cut(link_balls(cut(deal(nodes, centres, cosine), "dealt"), cosine), "links"))
+    return found
+
+
 def embedding_links(vectors: DataFrame, cosine: float = COSINE, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept (vec_id = component_id), n_copies (rows with the same vector).
 
     Equal vectors are one point with its count, so a large group of copies costs one row in a leaf. Two points are
-    compared if one lies in a dense place, or some leaf holds both; a pair held by several leaves is counted in the one of smallest id. Links have a
-    cosine of at least `cosine` in double precision; a link whose points no tree puts together is missed (the tests
-    measure how many). Vectors that are null, zero or hold null or non-finite components, and those without a vec_id,
-    link with nothing: n_links 0, component_id = vec_id, kept = true. Vectors of different lengths do not link. Rows
-    that repeat a vec_id count as vectors of their own. Labels and other columns are ignored; an empty table gives an
-    empty result.
+    compared if one lies in a dense place, or some leaf holds both; a pair held by several leaves is counted in the one
+    of smallest id. Vectors of a length that fits into one leaf are compared all with all. Links have a cosine of at
+    least `cosine` in double precision; a link whose points no tree puts together is missed (the tests and README say
+    how many). Vectors that are null, zero or hold null or non-finite components, and those without a vec_id, link with
+    nothing: n_links 0, component_id = vec_id, kept = true. Vectors of different lengths do not link. Rows that repeat a
+    vec_id count as vectors of their own, whether their vectors are equal or not. Labels and other columns are ignored;
+    an empty table gives an empty result.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.size("embedding").alias("width"))
     made = cut(fingerprints(vectors), "vectors")
     usable = made.filter("vec_id is not null and digest is not null")
-    points = cut(usable.groupBy("digest").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "points")
-    found = None
-    widths = [r.width for r in rows.filter("width > 0").groupBy("width").count().orderBy(F.desc("count"), "width").limit(16).collect()]
-    for width in widths:
-        same = rows.filter((F.col("width") == width) & F.col("vec_id").isNotNull()).dropDuplicates(["vec_id"])
-        nodes = cut(same.join(points.select("node", "copies"), F.col("vec_id") == F.col("node")).select("node", "copies", "embedding"), "nodes")
-        count = nodes.count()
-        if not count:
-            continue
-        centres, rest = sampled_centres(nodes, count, cosine, leaf), nodes
-        if len(centres):
-            rest = cut(deal(nodes, centres, cosine).filter("ball < 0").select("node", "copies", "embedding"), "rest")
-            count = rest.count()
-        placed = cut(plant(rest, count, trees, leaf), "placed")
-        for round_ in range(1, MOST_ROUNDS):
-            for _ in range(MOST_ROUNDS):
-                if (more := crowded_centres(placed, leaf, cosine)) is None:
-                    break
-                centres = np.concatenate([centres, more]) if len(centres) else more
-                placed = cut(deal(placed, more, cosine).filter("ball < 0").drop("ball", "halo"), "placed")
-            smaller = split_large(placed, leaf, round_)
-            if smaller is None:
-                break
-            placed = cut(smaller, "placed")
-        own = cut(link_leaves(placed, cosine), "links")
-        found = own if found is None else found.unionByName(own)
-        if len(centres):
-            found = found.unionByName(cut(link_balls(cut(deal(nodes, centres, cosine), "dealt"), cosine), "links"))
-    if found is None:
-        found = points.select("node", F.col("node").alias("root"), F.lit(0).cast("long").alias("links"))
-    classes = components(found.filter("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst")))
+    points = usable.groupBy("digest").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.any_value("width").alias("width"), F.any_value("embedding").alias("embedding"))
+    points = cut(points.withColumn("node", F.monotonically_increasing_id()), "points")  # fixed once written
+    widths = points.groupBy("width").agg(F.count("*").alias("n"))
+    large = {r.width: r.n for r in widths.filter(F.col("n") > 4 * leaf).collect()}  # lengths too common for one leaf
+    columns = ["node", "copies", "embedding"]
+    alone = points.filter(~F.col("width").isin(list(large))) if large else points
+    found = cut(link_leaves(alone.select(*columns, F.array(F.col("width").cast("long")).alias("leaves")), cosine), "links")
+    for width, n in sorted(large.items()):
+        found = found.unionByName(link_width(points.filter(F.col("width") == width).select(*columns), n, cosine, trees, leaf))
+    joined = cut(components(found.filter("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))), "components")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    points = points.join(links, "node", "left").join(classes, "node", "left")
-    points = cut(points.select("digest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"), F.col("copies").alias("n_copies")), "found")
-    linked = usable.join(points, "digest").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"), "n_copies")
+    points = points.select("digest", "first", "copies", "node").join(links, "node", "left").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    points = cut(points, "found")
+    least = points.groupBy("component").agg(F.min("first").alias("component_id"))
+    points = points.join(least, "component").select("digest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id", F.col("copies").alias("n_copies"))
+    linked = usable.select("vec_id", "digest").join(points, "digest").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"), "n_copies")
     rest = made.filter("vec_id is null or digest is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"), F.lit(1).cast("long").alias("n_copies"))
     return linked.unionByName(rest)
 

@@ -52,6 +52,7 @@ def test_recall_against_brute_force(spark):
 
 def test_large_leaves_are_split(spark, monkeypatch):
     monkeypatch.setattr(E, "SAMPLE", 64)
+    monkeypatch.setattr(E, "PLACED", 100)
     rows = [(k, v.tolist(), 0, 5, "c") for k, v in enumerate(clustered(1500, 1))]
     assert recall(spark, rows, leaf=16) >= 0.9
 
@@ -78,6 +79,20 @@ def test_edges(spark):
     assert E.embedding_links(table.limit(0)).count() == 0
 
 
+def test_any_number_of_lengths(spark):
+    pick = np.random.default_rng(9)
+    rows = [(k, pick.normal(size=2 + k // 3).tolist()) for k in range(120)]
+    rows += [(1000 + k, [2 * x for x in rows[k][1]]) for k in range(120)] + [(2000 + k, pick.normal(size=50).tolist()) for k in range(1200)]
+    got = {r.vec_id: r for r in E.embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert all(got[1000 + k].n_links >= 1 and got[1000 + k].component_id == got[k].component_id for k in range(120))
+
+
+def test_several_vectors_under_one_id(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (0, [-1.0, 0.0])]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in E.embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == [(0, 0, 0), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+
+
 def test_recall_on_the_table(spark):
     rows = [(r.vec_id, r.embedding, 0, 5, "c") for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     assert recall(spark, rows) >= 0.99
