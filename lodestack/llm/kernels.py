@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 
 _MULT, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _BYTE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: bytes of words: letters and digits of ASCII, and every byte of other characters
+#: bytes of words: letters and digits of ASCII, and every byte of other characters until these are looked at
 _WORD = np.zeros(256, bool)
 for _lo, _hi in ((48, 58), (65, 91), (97, 123), (128, 256)):
     _WORD[_lo:_hi] = True
@@ -62,12 +63,35 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: i
     return out
 
 
+@lru_cache(1)
+def _in_words() -> np.ndarray:
+    """Which code points are letters, marks or numbers."""
+    return np.fromiter((unicodedata.category(chr(c))[0] in "LMN" for c in range(0x110000)), bool, 0x110000)
+
+
+def _word_bytes(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to letters, marks or numbers."""
+    out = _WORD[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        size = np.where(data[lead] >= 0xF0, 4, np.where(data[lead] >= 0xE0, 3, 2))
+        point = data[lead].astype(np.int64) & (0x7F >> size)
+        for k in (1, 2, 3):
+            more = size > k
+            point[more] = (point[more] << 6) | (data[lead[more] + k] & 0x3F)
+        apart = ~_in_words()[point]
+        lead, size = lead[apart], size[apart]
+        for k in range(4):
+            out[lead[size > k] + k] = False
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, index of each document's first word, with the end): maximal runs of word bytes inside a document."""
+    """(starts, ends, index of each document's first word, with the end): maximal runs of letters, marks and numbers inside a document."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    is_word = _WORD[data]
+    is_word = _word_bytes(data)
     before, after = np.empty(n, bool), np.empty(n, bool)
     before[0] = after[-1] = False
     before[1:], after[:-1] = is_word[:-1], is_word[1:]
@@ -77,6 +101,12 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.flatnonzero(is_word & ~after) + 1, np.searchsorted(starts, offsets)
 
 
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, index of each document's first word, with the end)."""
+    starts, ends, first = words(data, offsets)
+    return span_hashes(data, starts, ends) if len(starts) else np.zeros(0, np.uint64), first
+
+
 def roll(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of each run of `width` successive hashes."""
     n = len(hashes) - width + 1
@@ -94,8 +124,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[np.n
 
     A document with fewer words than `width` (but some) has one shingle of all its words; one without words has none.
     """
-    starts, ends, first = words(data, offsets)
-    hashes = span_hashes(data, starts, ends) if len(starts) else np.zeros(0, np.uint64)
+    hashes, first = word_hashes(data, offsets)
     rolled = roll(hashes, width)
     out = []
     for a, b in zip(first[:-1], first[1:], strict=True):

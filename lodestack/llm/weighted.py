@@ -15,8 +15,8 @@ from .tables import sum_tables
 #: document counts of shingles are kept in this many hashed cells, twice over; what is counted doesn't change the size
 CELLS = 1 << 17
 BATCH_BYTES = 1 << 18
-#: how much of a shingle's weight depends on how rare it is
-RARITY = 0.5
+#: how much of a shingle's weight depends on how rare it is, and the share of all documents below which a shingle counts as rare
+RARITY, RARE = 0.2, 0.001
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -29,18 +29,21 @@ def _cells(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Weights:
-    """TF-IDF weights of shingles: (1 + ln tf) * (1 + RARITY * ln(N / df) / ln N).
+    """TF-IDF weights of shingles: (1 + ln tf) * (1 + RARITY * ln(N / df) / ln(1 / RARE)), the last factor 1 + RARITY at most.
 
-    df is the smaller of two hashed cells' counts less their mean, the other shingles' share; so it is exact enough
-    wherever it matters, for shingles that many documents have, and one for the rest. N counts documents.
+    df is the smaller of two hashed cells' counts less their mean, the other shingles' part. Only shingles that a share
+    of RARE or more of all N documents have weigh less than the rest; what a count must exceed is a share of N too, and
+    a cell's noise shrinks against it as N grows, so weights do not drift with the size of the table.
     """
 
     def __init__(self, counts: np.ndarray, documents: int):
         self.documents = max(2, documents)
-        excess = [c - c.mean() - 4 * np.sqrt(c.mean()) for c in (counts[:CELLS], counts[CELLS:])]
-        df = np.concatenate(excess)
-        self.idf = np.log(self.documents / np.clip(df, 1, self.documents)) / np.log(self.documents)
-        self.idf = self.idf.astype(np.float32)
+        idf = []
+        for c in (counts[:CELLS], counts[CELLS:]):
+            df = c - c.mean()
+            least = max(RARE * self.documents, 4 * np.sqrt(c.mean()), 1)
+            idf.append(np.where(df > least, np.log(self.documents / np.clip(df, 1, self.documents)) / np.log(1 / RARE), 1.0))
+        self.idf = np.clip(np.concatenate(idf), 0, 1).astype(np.float32)
 
     def __call__(self, hashes: np.ndarray, tf: np.ndarray) -> np.ndarray:
         a, b = _cells(hashes)

@@ -4,10 +4,12 @@ from collections import Counter
 
 import numpy as np
 from lodestack.llm import near_dedup as N
+from lodestack.llm import weighted
 from lodestack.llm.components import components
-from lodestack.llm.weighted import Sampler, learn_weights, weighted_jaccard
+from lodestack.llm.weighted import CELLS, RARE, RARITY, Sampler, learn_weights, weighted_jaccard
 from lodestack.llm.kernels import shingles, text_buffer
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 
 def corpus(seed=1):
@@ -36,10 +38,12 @@ def corpus(seed=1):
 
 
 def weigh(texts):
-    """Exact document counts in place of hashed cells."""
+    """Exact document counts in place of hashed cells, with the same least count."""
     sets = [Counter(tuple(w[i : i + 5]) if len(w) >= 5 else tuple(w) for i in range(max(1, len(w) - 4)) if w) for w in (re.findall(r"[^\W_]+", (t or "").lower()) for t in texts)]
     df, n = Counter(s for own in sets for s in own), max(2, sum(t is not None for t in texts))
-    return [{s: (1 + np.log(c)) * (1 + 0.5 * np.log(n / df[s]) / np.log(n)) for s, c in own.items()} for own in sets]
+    least = max(RARE * n, 4 * np.sqrt(sum(df.values()) / CELLS), 1)
+    idf = lambda s: min(1, np.log(n / df[s]) / np.log(1 / RARE)) if df[s] > least else 1
+    return [{s: (1 + np.log(c)) * (1 + RARITY * idf(s)) for s, c in own.items()} for own in sets]
 
 
 def similarity(a, b):
@@ -106,9 +110,48 @@ def test_weights(spark):
     texts = ["a b c d e f g"] * 40 + [f"x{k} y{k} z{k} u{k} v{k} w{k}" for k in range(400)]
     weights = learn_weights(spark.createDataFrame([(t,) for t in texts], "text string"))
     common, rare = (shingles(*text_buffer(pa.array([t])))[0] for t in (texts[0], texts[-1]))
-    n = np.log(len(texts))
-    assert np.allclose(weights(common, np.ones(3)), 1 + 0.5 * np.log(len(texts) / 40) / n, atol=0.05)
-    assert np.allclose(weights(rare, np.ones(2)), 1.5, atol=0.02)
+    assert np.allclose(weights(common, np.ones(3)), 1 + RARITY * np.log(len(texts) / 40) / np.log(1 / RARE), atol=0.02)
+    assert np.allclose(weights(rare, np.ones(2)), 1 + RARITY, atol=0.001)
+
+
+def test_weights_do_not_drift_with_size():
+    """A shingle that one document in fifty has weighs the same in a small and a large table."""
+    pick, seen = np.random.default_rng(3), []
+    hashes = pick.integers(0, 2**63, 50, dtype=np.uint64) * np.uint64(2)
+    for documents in (50_000, 5_000_000, 500_000_000):
+        counts = pick.poisson(documents * 300 / CELLS, 2 * CELLS).astype(float)
+        for cells in weighted._cells(hashes):
+            counts[cells] += documents / 50
+        seen.append(weighted.Weights(counts, documents)(hashes, np.ones(50)))
+    assert np.ptp(seen, axis=0).max() < 0.01 and np.allclose(seen[-1], 1 + RARITY * np.log(50) / np.log(1 / RARE), atol=0.01)
+
+
+def test_several_texts_under_one_id(spark):
+    pick = random.Random(4)
+    a, b = (" ".join("".join(pick.choice("abcdefgh") for _ in range(5)) for _ in range(120)) for _ in range(2))
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail"), (1, a), (4, a.upper()), (5, None), (5, None), (None, a)]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, _digest int")
+    got = Counter((r.doc_id, r.class_id) for r in N.near_duplicates(docs).collect())
+    assert got == {(1, 1): 3, (2, 1): 1, (3, 1): 1, (4, 1): 1, (5, 5): 2, (None, None): 1}
+    kept = sorted(r["_digest"] for r in N.keep_one(docs).collect())
+    assert kept in ([0, 1, 6, 7, 8], [1, 4, 6, 7, 8])
+
+
+def test_recall_at_the_threshold(spark):
+    """All pairs of the table by exact weights: what share of those at 0.8 and more ends in one class, near copies alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    weights = learn_weights(docs.select(F.lower("text").alias("text")))
+    sets = [(h, weights(h, tf)) for h, tf in N.shingle_sets(*text_buffer(pa.array([t.lower() for _, t in rows])), 5)]
+    of = {r.doc_id: r.class_id for r in N.near_duplicates(docs).collect()}
+    meet = {}
+    for k, (h, _) in enumerate(sets):  # similar texts share one of the few shingles that are least by another hash
+        for x in h[np.argsort(h * np.uint64(0x9E3779B97F4A7C15))[:40]].tolist():
+            meet.setdefault(x, []).append(k)
+    pairs = Counter((a, b) for own in meet.values() if len(own) < 60 for n, a in enumerate(own) for b in own[n + 1 :])
+    near = [(a, b) for (a, b), n in pairs.items() if n > 8 and weighted_jaccard(sets[a], sets[b]) >= 0.8 and rows[a][1].lower() != rows[b][1].lower()]
+    together = sum(of[rows[a][0]] == of[rows[b][0]] for a, b in near)
+    assert len(near) > 100 and together >= 0.99 * len(near)
 
 
 def test_components(spark):
@@ -122,7 +165,7 @@ def test_components(spark):
 
 def test_items_bound_the_shared_weight(spark):
     texts = ["a b c d e f g h a b c d e f g h a b c d e", "a b c d e f g h i j k a b c d e x", "", "one two"]
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
     weights = learn_weights(rows)
     items = {r.node: set(r["items"]) for r in N.weighted_items(rows, weights, 5).collect()}
     sets = [(h, weights(h, tf)) for h, tf in N.shingle_sets(*text_buffer(pa.array(texts)), 5)]
