@@ -13,8 +13,8 @@ from .common import batches, held_out, table
 from .kernels import text_buffer
 from .sampling import bounded_sample
 
-#: longest context in bytes; the training sample's bounds: documents of a language, languages
-ORDER, SAMPLE_DOCS, MOST_LANGUAGES = 4, 250, 64
+#: longest context in bytes; the training sample's bounds: documents of a language, and of all languages together
+ORDER, SAMPLE_DOCS, MOST_DOCS = 4, 250, 16_000
 BATCH_BYTES = 1 << 17
 UNDETERMINED = "und"
 EDGE = 10  # the byte before a text's first: as after a line end
@@ -162,10 +162,10 @@ class PPM:
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> PPM:
-    """Context trees from at most `sample_docs` documents of each language, of those that may be learnt from."""
+    """Context trees of every language that there is, from at most `sample_docs` documents of each (see bounded_sample), of those that may be learnt from."""
     rows = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
     texts: dict[str, list[bytes]] = {}
-    for text, lang in bounded_sample(rows, "lang", sample_docs, MOST_LANGUAGES):
+    for text, lang in bounded_sample(rows, "lang", sample_docs, MOST_DOCS):
         texts.setdefault(lang, []).append(text.encode())
     return PPM(texts)
 
@@ -175,7 +175,8 @@ def identify(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
 
     The language with the least exact code length of the whole text; equal lengths go to the first by name. The score
     is that language's share if each language's weight is 2 to the minus its code length. `und` with score 0 for a
-    null text, a text without a letter, and where nothing could be learnt. Null languages aren't learnt from; a null
+    null text, a text without a letter, and where nothing could be learnt. Learnt are all languages, from samples of
+    bounded rows (SAMPLE_DOCS, MOST_DOCS) and of a long text its first 131,072 characters; predicted are whole texts. Null languages aren't learnt from; a null
     doc_id is held out; repeated rows are each predicted; other columns are ignored; an empty table gives an empty result.
     """
     model = docs.sparkSession.sparkContext.broadcast(learn(docs, sample_docs))  # bounded by the sample
