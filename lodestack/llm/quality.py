@@ -185,7 +185,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_DOCS) -> M
 
     wanted = spark.createDataFrame(ids, "doc_id long, quality int")  # bounded: 2 * per_label rows or so
     seen = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(wanted), "doc_id").select("doc_id", "quality", "text")
-    rows = sorted((r.doc_id, r.quality, bytes(r.x)) for r in seen.mapInArrow(run, "doc_id long, quality int, x binary").collect())
+    seen = seen.mapInArrow(run, "doc_id long, quality int, x binary").groupBy("doc_id", "quality").agg(F.min("x").alias("x"))  # an id that repeats teaches once
+    rows = sorted((r.doc_id, r.quality, bytes(r.x)) for r in seen.collect())
     if len({q for _, q, _ in rows}) < 2:
         return Model(vectors, None)
     x = np.array([np.frombuffer(r[2], np.float32) for r in rows], np.float64)
@@ -213,7 +214,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT,
 
 
 def accepted_documents(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT, per_label: int = SAMPLE_DOCS) -> DataFrame:
-    """The documents whose score reaches `accept`, with all their columns as they are."""
+    """The documents whose score reaches `accept`, with all their columns as they are.
+
+    A null text is judged as an empty one; rows with a null doc_id and repeated rows are judged as any other; columns of
+    any name are kept; an empty table stays empty.
+    """
     model = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, per_label))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
