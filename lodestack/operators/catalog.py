@@ -48,3 +48,23 @@ def probe_report(parts: DataFrame) -> DataFrame:
     total = F.when(F.col("ms") > 0, F.col("bytes") / 1e6 / (F.col("ms") / 1000)).otherwise(0.0)
     slower = (F.col("n_parts") >= 4) & (F.coalesce("a", F.lit(0.0)) > 0) & (F.coalesce("b", F.lit(0.0)) < 0.5 * F.col("a"))
     return rows.select("report", "n_parts", F.round(total, 6).alias("mbps"), (-F.col("worst.i")).alias("slowest"), slower.alias("slows_down"))
+
+
+def versions(rows: DataFrame, by: str, order: str, name: str, newest: int) -> DataFrame:
+    """(by, versions, newest): how many rows each group has, and the names of the newest of them."""
+    place = Window.partitionBy(by).orderBy(F.desc(order))
+    rows = rows.withColumn("_k", F.row_number().over(place))
+    first = F.array_sort(F.collect_list(F.when(F.col("_k") <= newest, F.struct("_k", name))))
+    return rows.groupBy(by).agg(F.count("*").alias("versions"), first.alias("f")).select(by, "versions", F.array_join(f"f.{name}", "|").alias("newest"))
+
+
+def latest(rows: DataFrame, by: str, order: list[str], most: int) -> DataFrame:
+    """The last `most` rows of each group by these columns."""
+    place = Window.partitionBy(by).orderBy(*[F.desc(c) for c in order])
+    return rows.withColumn("_k", F.row_number().over(place)).filter(F.col("_k") <= most).drop("_k")
+
+
+def parallel_throughput(parts: DataFrame) -> DataFrame:
+    """(report, survivors, failed, mbps) of parts (report, bytes, ms) that ran side by side; a failed part has null bytes."""
+    rows = parts.groupBy("report").agg(F.count("bytes").alias("survivors"), F.count_if(F.col("bytes").isNull()).alias("failed"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("b"), F.max("ms").alias("wall"))
+    return rows.select("report", "survivors", "failed", F.round(F.when(F.col("wall") > 0, F.col("b") / 1e6 / (F.col("wall") / 1000)).otherwise(0.0), 6).alias("mbps"))

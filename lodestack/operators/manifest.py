@@ -28,14 +28,17 @@ def positional_groups(layers: DataFrame) -> DataFrame:
     return layers.withColumn("group_no", F.sum(F.when(title_of(F.col("title")).isNotNull(), 1).otherwise(0)).over(order).cast("long"))
 
 
-def merge(existing: DataFrame, new: DataFrame, deleted: DataFrame) -> DataFrame:
-    """Existing groups whose title is neither new nor deleted, then the new layers. Groups without a title stay."""
-    grouped = positional_groups(existing)
-    head = grouped.withColumn("_t", title_of(F.col("title"))).groupBy("repo", "group_no").agg(F.max("_t").alias("group_title"))
-    gone = new.select("repo", title_of(F.col("title")).alias("group_title")).unionByName(deleted.select("repo", title_of(F.col("title")).alias("group_title"))).distinct()
-    kept = grouped.join(head.join(gone, ["repo", "group_title"], "left_anti"), ["repo", "group_no"])
-    cols = ["repo", "layer_idx", "media_type", "title", "size", "digest"]
-    return kept.select(*cols, F.lit("kept").alias("origin")).unionByName(new.select(*cols, F.lit("new").alias("origin")))
+def merge_flagged(rows: DataFrame, deleted: list[str]) -> DataFrame:
+    """Layers after a commit, from one table of old and new ones (`is_new`) in one pass by repository.
+
+    Old groups stay, as a whole, unless their title is new or deleted; groups without a title stay. The new layers follow.
+    """
+    whole = Window.partitionBy("repo")
+    order = whole.orderBy("layer_idx").rowsBetween(Window.unboundedPreceding, 0)
+    path, old = title_of(F.col("title")), ~F.col("is_new")
+    rows = rows.withColumn("_title", F.last(F.when(old, path), ignorenulls=True).over(order)).withColumn("_new", F.collect_set(F.when(~old, path)).over(whole))
+    gone = F.coalesce(F.array_contains("_new", F.col("_title")) | F.col("_title").isin(deleted), F.lit(False))
+    return rows.filter(~old | ~gone).select("repo", "layer_idx", "media_type", "title", "size", "digest", F.when(old, "kept").otherwise("new").alias("origin"))
 
 
 def glob_regex(pattern: str) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from ..operators import pointers
 from ..sources import corpus
 from .reference import _CHUNKS, _chunks, query
 
@@ -22,17 +23,17 @@ def w07_contiguous_watermark(spark, d):
     return came.groupBy("file_id").agg(F.coalesce(F.min(F.when(gap, F.col("covered"))), F.max("stop")).cast("long").alias("watermark"), F.count_if(gap).alias("gaps"))
 
 
-@query(f"""WITH {_CHUNKS} SELECT file_id, chunk_idx, CASE WHEN file_id % 13 = 0 THEN 'differs' WHEN file_id % 13 = 1 AND "offset" > 0 THEN 'out of range' ELSE 'sound' END AS status FROM h""")
+@query(f"""WITH {_CHUNKS}, e AS (SELECT h.file_id, chunk_idx, content, CASE WHEN h.file_id % 13 = 0 THEN reverse(digest) ELSE digest END AS expected, CASE WHEN h.file_id % 13 = 1 THEN "offset" * octet_length(content) ELSE "offset" END AS o, size FROM h JOIN f USING (file_id))
+SELECT file_id, o AS "offset", size, CASE WHEN o + size > octet_length(content) THEN 'out of range' WHEN sha256(array_slice(content, o + 1, o + size)) = expected THEN 'sound' ELSE 'differs' END AS status FROM e""")
 def x14_verify_chunks(spark, d):
-    """Each chunk's slice of the file against the digest it should have; a slice past the end is out of range."""
-    content = corpus.files(spark, d).select("file_id", "content")
-    rows = _chunks(spark, d).select("file_id", "chunk_idx", "offset", "size", "digest").join(content, "file_id")
-    expected = F.when(F.col("file_id") % 13 == 0, F.reverse("digest")).otherwise(F.col("digest"))
-    start = F.when(F.col("file_id") % 13 == 1, F.col("offset") * F.octet_length("content")).otherwise(F.col("offset"))
-    part = F.substring("content", start.cast("int") + 1, F.col("size").cast("int"))
-    inside = start + F.col("size") <= F.octet_length("content")
-    status = F.when(~inside, "out of range").when(F.sha2(part, 256) == expected, "sound").otherwise("differs")
-    return rows.select("file_id", "chunk_idx", status.alias("status"))
+    """Each chunk's slice of the file against the digest it should have; a slice past the end is out of range. A file
+    meets the list of its chunks, so its bytes are joined once."""
+    files = corpus.files(spark, d).select("file_id", "content", F.octet_length("content").alias("n"))
+    chunks = _chunks(spark, d).select("file_id", "chunk_idx", "offset", "size", F.when(F.col("file_id") % 13 == 0, F.reverse("digest")).otherwise(F.col("digest")).alias("digest"))
+    chunks = chunks.join(files.select("file_id", "n"), "file_id").withColumn("offset", F.when(F.col("file_id") % 13 == 1, F.col("offset") * F.col("n")).otherwise(F.col("offset")))
+    plan = chunks.groupBy("file_id").agg(F.collect_list(F.struct("offset", "size", F.col("offset").alias("file_offset"), "digest")).alias("targets"))
+    cut_out = pointers.scatter(plan.withColumn("pack", F.col("file_id")), files.withColumnRenamed("file_id", "pack"))
+    return cut_out.select("file_id", F.col("file_offset").alias("offset"), "size", "status")
 
 
 @query("""WITH h AS (SELECT page_id, regexp_extract(lower(url), '^[a-z]+://([^/:?#]+)', 1) AS host FROM pages)
@@ -45,15 +46,17 @@ def j11_same_host(spark, d):
 
 
 @query("""WITH e AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'bogus' WHEN 1 THEN 'bytes 5/42' WHEN 2 THEN 'bytes ' || event_id || '-' || event_id * 2 || '/*' ELSE 'bytes 0-' || event_id || '/99' END AS r,
-CASE event_id % 3 WHEN 0 THEN '0-0' WHEN 1 THEN '0-' || event_id ELSE 'junk' END AS c FROM events)
+CASE event_id % 7 WHEN 0 THEN '0-0' WHEN 1 THEN '0-' || event_id WHEN 2 THEN 'bytes=0-' || event_id WHEN 3 THEN '7- ' || event_id || ' ' WHEN 4 THEN event_id::VARCHAR WHEN 5 THEN '0-9223372036854775807' ELSE 'junk' END AS c FROM events)
 SELECT event_id, TRY_CAST(regexp_extract(r, '^bytes ([0-9]+)-([0-9]+)/', 1) AS BIGINT) AS first_byte, TRY_CAST(regexp_extract(r, '^bytes ([0-9]+)-([0-9]+)/', 2) AS BIGINT) AS last_byte,
-CASE WHEN c = '0-0' THEN 0 ELSE coalesce(TRY_CAST(regexp_extract(c, '-([0-9]+)$', 1) AS BIGINT) + 1, 0) END::BIGINT AS committed FROM e""")
+CASE WHEN n IS NULL OR n = 0 THEN 0 WHEN n = 9223372036854775807 THEN n ELSE n + 1 END AS committed
+FROM (SELECT *, TRY_CAST(nullif(regexp_extract(c, '(?:^|-)[ ]*([0-9]+)[ ]*$', 1), '') AS BIGINT) AS n FROM e)""")
 def c07_c08_byte_ranges(spark, d):
     """Bounds of a content range (null if malformed), and the bytes that a range header says are committed."""
     i = F.col("event_id")
     text = i.cast("string")
     given = F.when(i % 4 == 0, "bogus").when(i % 4 == 1, "bytes 5/42").when(i % 4 == 2, F.concat(F.lit("bytes "), text, F.lit("-"), (i * 2).cast("string"), F.lit("/*"))).otherwise(F.concat(F.lit("bytes 0-"), text, F.lit("/99")))
-    held = F.when(i % 3 == 0, "0-0").when(i % 3 == 1, F.concat(F.lit("0-"), text)).otherwise("junk")
+    k = i % 7
+    held = F.when(k == 0, "0-0").when(k == 1, F.concat(F.lit("0-"), text)).when(k == 2, F.concat(F.lit("bytes=0-"), text)).when(k == 3, F.concat(F.lit("7- "), text, F.lit(" "))).when(k == 4, text).when(k == 5, "0-9223372036854775807").otherwise("junk")
     bound = lambda k: F.regexp_extract(given, "^bytes ([0-9]+)-([0-9]+)/", k).try_cast("bigint")
     return corpus.table(spark, d, "events").select("event_id", bound(1).alias("first_byte"), bound(2).alias("last_byte"), X.committed_bytes(held).alias("committed"))
 
@@ -68,8 +71,10 @@ def c13_c15_repository_names(spark, d):
     return rows.select("doc_id", parts[0].alias("project"), parts[1].alias("repo"), F.replace(parts[1], F.lit("/"), F.lit("%2F")).alias("encoded"), F.concat(F.lit("models--"), F.replace("id", F.lit("/"), F.lit("--"))).alias("folder"))
 
 
-@query("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN [0, 6, 0] WHEN 1 THEN [o_orderkey, 5] WHEN 2 THEN [1, 2, o_orderkey % 9]::BIGINT[] ELSE [0, 0, 0] END::BIGINT[]::VARCHAR AS version,
-o_orderkey % 4 IN (1, 2) AS newer FROM orders""")
+@query("""WITH v AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '0.6.0rc1' WHEN 1 THEN o_orderkey || '.5' WHEN 2 THEN '1.2.' || (o_orderkey % 9) ELSE '0.0.0+unknown' END AS t FROM orders),
+p AS (SELECT o_orderkey, list_transform(string_split(t, '.'), lambda x: regexp_extract(x, '^([0-9]*)', 1)) AS d FROM v),
+n AS (SELECT o_orderkey, list_transform(CASE WHEN list_contains(d, '') THEN d[:list_position(d, '') - 1] ELSE d END, lambda x: x::BIGINT) AS n FROM p)
+SELECT o_orderkey, n::VARCHAR AS version, n > [0, 6, 0]::BIGINT[] AS newer FROM n""")
 def c16_versions(spark, d):
     """The leading integers of version texts, and whether they come after 0.6.0."""
     k = F.col("o_orderkey")
@@ -79,20 +84,22 @@ def c16_versions(spark, d):
     return rows.select("o_orderkey", F.concat(F.lit("["), F.array_join(F.col("v").cast("array<string>"), ", "), F.lit("]")).alias("version"), newer.alias("newer"))
 
 
-@query("""SELECT page_id, rtrim(url, '/') AS registry, url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'digest=' || page_id AS upload FROM pages""")
+@query("""SELECT page_id, rtrim(coalesce(nullif(CASE WHEN page_id % 4 > 0 THEN url || repeat('/', (page_id % 3)::INTEGER) ELSE '' END, ''), 'https://registry.example.org/'), '/') AS registry, url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'digest=' || page_id AS upload FROM pages""")
 def c26_c27_addresses(spark, d):
-    """Addresses without slashes at their end, and with a digest added to their query."""
+    """Addresses, or the default one, without slashes at their end, and with a digest added to their query."""
     url = F.col("url")
+    given = F.when(F.col("page_id") % 4 > 0, F.concat(url, F.repeat(F.lit("/"), (F.col("page_id") % 3).cast("int")))).otherwise("")
     upload = F.concat(url, F.when(F.contains(url, F.lit("?")), "&").otherwise("?"), F.lit("digest="), F.col("page_id").cast("string"))
-    return corpus.table(spark, d, "pages").select("page_id", F.regexp_replace(url, "/+$", "").alias("registry"), upload.alias("upload"))
+    return corpus.table(spark, d, "pages").select("page_id", X.registry(given, "https://registry.example.org/").alias("registry"), upload.alias("upload"))
 
 
-@query("""SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN p_name WHEN 1 THEN 'datasets/' || p_name ELSE 'spaces/' || p_name END AS path,
-coalesce(nullif(CASE WHEN p_size % 2 = 0 THEN '' ELSE p_brand END, ''), nullif(p_type, ''), '-') AS label FROM part""")
+@query("""SELECT p_partkey, CASE WHEN p_size % 3 > 0 AND regexp_matches(name, '^(datasets|spaces)/') THEN NULL WHEN p_size % 3 = 0 THEN name WHEN p_size % 3 = 1 THEN 'datasets/' || name ELSE 'spaces/' || name END AS path,
+coalesce(nullif(CASE WHEN p_size % 2 = 0 THEN '' ELSE p_brand END, ''), nullif(p_type, ''), '-') AS label FROM (SELECT *, CASE WHEN p_partkey % 5 = 0 THEN 'spaces/' || p_name ELSE p_name END AS name FROM part)""")
 def c12_c28_paths_and_labels(spark, d):
-    """Repository paths by kind, and the first of two names that is not empty."""
+    """Repository paths by kind (null where the name has a prefix already), and the first of two names that is not empty."""
     size = F.col("p_size")
-    path = F.concat(F.when(size % 3 == 0, "").when(size % 3 == 1, "datasets/").otherwise("spaces/"), F.col("p_name"))
+    name = F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("spaces/"), F.col("p_name"))).otherwise(F.col("p_name"))
+    path = X.repository_path(name, F.when(size % 3 == 1, "dataset").when(size % 3 == 2, "space").otherwise("model"))
     first = F.when(size % 2 == 0, "").otherwise(F.col("p_brand"))
     label = F.coalesce(F.nullif(first, F.lit("")), F.nullif("p_type", F.lit("")), F.lit("-"))
     return corpus.table(spark, d, "part").select("p_partkey", path.alias("path"), label.alias("label"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import manifest, packing
+from ..functions import expressions as X
+from ..operators import manifest
 from ..sources import corpus
-from .reference import _CHUNKS, _LAYERS, _PLAN, _chunks, _planned, query
+from .reference import _LAYERS, _PLAN, _planned, query
 
 
 @query(f"""WITH RECURSIVE {_PLAN}, z AS (SELECT file_id, pack_idx, sum(size)::BIGINT AS pack_size FROM w WHERE pack_idx IS NOT NULL AND file_id % 11 <> 0 GROUP BY ALL)
@@ -38,14 +39,6 @@ def j05_not_deleted(spark, d):
     return rows.join(F.broadcast(gone), "title", "left_anti").select("repo", "layer_idx", "title")  # two rows
 
 
-@query(f"""WITH {_CHUNKS}, x AS (SELECT digest, file_id AS pack_file, "offset" AS pack_offset FROM h QUALIFY row_number() OVER (PARTITION BY digest ORDER BY file_id, chunk_idx) = 1)
-SELECT * FROM x WHERE pack_file NOT IN (SELECT doc_id FROM documents WHERE doc_id % 17 = 0)""")
-def j07_x17_index_without_lost(spark, d):
-    """The index without what lost packs held."""
-    lost = corpus.files(spark, d).filter("file_id % 17 = 0").select(F.col("file_id").alias("pack_file"))
-    return packing.dedup_index(_chunks(spark, d)).join(lost, "pack_file", "left_anti").select("digest", "pack_file", "pack_offset")
-
-
 @query("""WITH c AS (SELECT o_custkey AS repo, max(o_orderkey) AS current FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1)
 SELECT o_orderkey AS revision, CASE WHEN o_orderkey % 3 = 0 THEN 'unguarded' WHEN c.current IS NOT DISTINCT FROM o.o_orderkey THEN 'accepted' ELSE 'conflict' END AS outcome
 FROM orders o LEFT JOIN c ON c.repo = o.o_custkey""")
@@ -58,17 +51,37 @@ def j08_k04_conditional_commit(spark, d):
     return orders.join(current, "repo", "left").select("revision", outcome.alias("outcome"))
 
 
-@query("""WITH r AS (SELECT o_custkey AS repo, count(*) AS revisions, max(CASE WHEN o_orderstatus = 'F' THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END) AS pushed FROM orders GROUP BY 1)
-SELECT c_custkey AS repo, n_name AS project, coalesce(revisions, 0) AS revisions, coalesce(nullif(pushed, ''), nullif(c_mktsegment, '')) AS updated, revisions IS NOT NULL AS found
+@query("""WITH r AS (SELECT o_custkey AS repo, count(*) AS revisions, max(CASE WHEN o_orderstatus = 'F' THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END) AS pushed,
+max(CASE WHEN o_orderpriority LIKE '1%' THEN strftime(o_orderdate, '%Y-%m') END) AS artifact FROM orders GROUP BY 1)
+SELECT c_custkey AS repo, n_name AS project, coalesce(revisions, 0) AS revisions,
+coalesce(nullif(artifact, ''), nullif(pushed, ''), nullif(c_mktsegment, ''), nullif(n_name, '')) AS updated, revisions IS NOT NULL AS found,
+CASE c_custkey % 5 WHEN 0 THEN 'forbidden' WHEN 1 THEN 'missing' ELSE 'found' END AS lookup, CASE WHEN c_custkey % 5 > 1 THEN c_acctbal < 0 END AS private
 FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN r ON r.repo = c_custkey""")
-def j09_f09_repo_info(spark, d):
-    """Repository facts from several tables; an empty string counts as absent, and a repository without revisions isn't found."""
+def j09_s07_repo_info(spark, d):
+    """Repository facts from artifact, repository, project and manifest. The first time that isn't empty counts, in this
+    order; a project that can't be read (403) or isn't there (404) leaves it unknown whether the repository is private."""
     pushed = F.when(F.col("o_orderstatus") == "F", "").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
-    revisions = corpus.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("repo")).agg(F.count("*").alias("revisions"), F.max(pushed).alias("pushed"))
+    artifact = F.when(F.col("o_orderpriority").startswith("1"), F.date_format("o_orderdate", "yyyy-MM"))
+    revisions = corpus.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("repo")).agg(F.count("*").alias("revisions"), F.max(pushed).alias("pushed"), F.max(artifact).alias("artifact"))
     project = corpus.table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("project"))
     rows = corpus.table(spark, d, "customer").withColumn("repo", F.col("c_custkey")).join(project, "c_nationkey", "left").join(revisions, "repo", "left")
-    updated = F.coalesce(F.nullif("pushed", F.lit("")), F.nullif("c_mktsegment", F.lit("")))
-    return rows.select("repo", "project", F.coalesce("revisions", F.lit(0)).alias("revisions"), updated.alias("updated"), F.col("revisions").isNotNull().alias("found"))
+    updated = F.coalesce(*[F.nullif(c, F.lit("")) for c in ("artifact", "pushed", "c_mktsegment", "project")])
+    status = F.when(F.col("repo") % 5 == 0, 403).when(F.col("repo") % 5 == 1, 404).otherwise(200)
+    rows = rows.withColumn("lookup", X.lookup_outcome(status))
+    return rows.select("repo", "project", F.coalesce("revisions", F.lit(0)).alias("revisions"), updated.alias("updated"), F.col("revisions").isNotNull().alias("found"), "lookup", F.when(F.col("lookup") == "found", F.col("c_acctbal") < 0).alias("private"))
+
+
+@query(f"""WITH {_LAYERS}, a AS (SELECT c_custkey, c_custkey * 2 AS repo, CASE WHEN c_custkey % 3 = 0 THEN 404 WHEN c_custkey % 3 = 1 THEN 403 ELSE 200 END AS tags, 'part/' || (c_custkey % 6) AS title FROM customer)
+SELECT c_custkey, tags <> 404 AS repo_exists, EXISTS (SELECT 1 FROM l WHERE l.repo = a.repo) AS revision_exists, EXISTS (SELECT 1 FROM t WHERE t.repo = a.repo AND t.path = a.title) AS file_exists FROM a""")
+def f09_existence(spark, d):
+    """Is a repository there (one that needs a login is), a revision (it has a manifest), a file (its title is in that manifest)?"""
+    asked = corpus.table(spark, d, "customer").select("c_custkey", (F.col("c_custkey") * 2).alias("repo"), F.concat(F.lit("part/"), (F.col("c_custkey") % 6).cast("string")).alias("title"))
+    status = F.when(F.col("c_custkey") % 3 == 0, 404).when(F.col("c_custkey") % 3 == 1, 403).otherwise(200)
+    layers = corpus.layers(spark, d)
+    files = manifest.group_files(layers).select("repo", "title").distinct().withColumn("file", F.lit(True))
+    there = layers.select("repo").distinct().withColumn("there", F.lit(True))
+    rows = asked.join(there, "repo", "left").join(files, ["repo", "title"], "left")
+    return rows.select("c_custkey", (X.lookup_outcome(status) != "missing").alias("repo_exists"), F.col("there").isNotNull().alias("revision_exists"), F.col("file").isNotNull().alias("file_exists"))
 
 
 @query(f"""WITH {_LAYERS} SELECT o_orderkey AS revision, count(layer_idx) AS n_layers, coalesce(sum(size), 0)::BIGINT AS bytes FROM orders LEFT JOIN l ON l.repo = o_orderkey GROUP BY 1""")
@@ -124,22 +137,21 @@ SELECT repo, layer_idx, CASE WHEN size > 45 THEN 'pack too large' WHEN file_offs
 def x13_f14_read_plan_bounds(spark, d):
     """Each target of a read plan: its pack within the ceiling, its end without overflow and within the file."""
     rows = corpus.layers(spark, d)
-    offset = packing.running_offset(rows, "repo", ["layer_idx"], F.col("size"))
-    rows = rows.select("repo", "layer_idx", "size", offset.alias("o"), F.sum("size").over(Window.partitionBy("repo")).alias("total"))
+    rows = rows.select("repo", "layer_idx", "size", F.col("file_offset").alias("o"), F.sum("size").over(Window.partitionBy("repo")).alias("total"))
     end = F.try_add(F.when(F.col("layer_idx") == 3, F.lit(2**63 - 1)).otherwise(F.col("o")), F.col("size"))
     verdict = F.when(F.col("size") > 45, "pack too large").when(end.isNull(), "overflow").when(end > F.col("total"), "outside").otherwise("ok")
     return rows.select("repo", "layer_idx", verdict.alias("verdict"))
 
 
-@query("""WITH n AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'main' WHEN 1 THEN 'smoke-later-1' ELSE 'smoke-' || strftime(o_orderdate, '%Y%m%d') || '-' || o_orderkey END AS name FROM orders)
-SELECT o_orderkey, name FROM n WHERE try_strptime(nullif(regexp_extract(name, '^smoke-([0-9]{8})-', 1), ''), '%Y%m%d') < TIMESTAMP '1998-04-25'""")
+@query("""WITH n AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'main' WHEN 1 THEN 'smoke-later-1' ELSE 'smoke-' || strftime(o_orderdate, '%Y%m%d') || '-' || lpad((o_orderkey % 24)::VARCHAR, 2, '0') || '3015-' || o_orderkey END AS name FROM orders)
+SELECT o_orderkey, name FROM n WHERE try_strptime(nullif(regexp_extract(name, '^smoke-([0-9]{8}-[0-9]{6})-', 1), ''), '%Y%m%d-%H%M%S') < TIMESTAMP '1998-04-25 12:00:00'""")
 def f16_stale_revisions(spark, d):
-    """Test revisions whose name holds a day before the cutoff; names without a day are left alone."""
+    """Test revisions whose name holds a time before the cutoff; names without one are left alone."""
     k, day = F.col("o_orderkey") % 4, F.date_format("o_orderdate", "yyyyMMdd")
-    name = F.when(k == 0, "main").when(k == 1, "smoke-later-1").otherwise(F.concat(F.lit("smoke-"), day, F.lit("-"), F.col("o_orderkey").cast("string")))
+    name = F.when(k == 0, "main").when(k == 1, "smoke-later-1").otherwise(F.concat(F.lit("smoke-"), day, F.lit("-"), F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit("3015-"), F.col("o_orderkey").cast("string")))
     rows = corpus.table(spark, d, "orders").select("o_orderkey", name.alias("name"))
-    found = F.try_to_timestamp(F.nullif(F.regexp_extract("name", "^smoke-([0-9]{8})-", 1), F.lit("")), F.lit("yyyyMMdd"))
-    return rows.filter(found < F.lit("1998-04-25").cast("timestamp"))
+    found = F.try_to_timestamp(F.nullif(F.regexp_extract("name", "^smoke-([0-9]{8}-[0-9]{6})-", 1), F.lit("")), F.lit("yyyyMMdd-HHmmss"))
+    return rows.filter(found < F.lit("1998-04-25 12:00:00").cast("timestamp"))
 
 
 @query("""SELECT a.s_suppkey AS asked, min(p.s_suppkey) AS plan FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey::VARCHAR ELSE upper(s_name) END AS q FROM supplier) a

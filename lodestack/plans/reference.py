@@ -17,17 +17,19 @@ _CHUNKS = f"""f AS (SELECT doc_id AS file_id, source AS repo, encode(coalesce(te
 c AS (SELECT file_id, i AS chunk_idx, i * {CHUNK} AS "offset", array_slice(content, i * {CHUNK} + 1, least((i + 1) * {CHUNK}, octet_length(content))) AS payload
       FROM (SELECT *, unnest(range(0, CAST(ceil(octet_length(content) / {CHUNK}.0) AS BIGINT))) AS i FROM f WHERE octet_length(content) > 0)),
 h AS (SELECT file_id, chunk_idx, "offset", octet_length(payload)::BIGINT AS size, sha256(payload) AS digest, payload FROM c)"""
-_PLAN = f"""{_CHUNKS},
-k AS (SELECT file_id, chunk_idx, digest, size, digest IN (SELECT digest FROM h WHERE file_id % 10 <> 0) AS reused FROM h),
+_INDEX = """x AS (SELECT digest, 'sha256:' || file_digest AS pack_digest, "offset" AS index_offset
+      FROM h JOIN (SELECT file_id, sha256(content) AS file_digest FROM f) USING (file_id) WHERE {prior} QUALIFY row_number() OVER (PARTITION BY digest ORDER BY file_id, chunk_idx) = 1)"""
+_FOLD = f"""k AS (SELECT h.file_id, h.chunk_idx, h.digest, h.size, x.pack_digest, x.index_offset, x.pack_digest IS NOT NULL AS reused FROM h LEFT JOIN x USING (digest)),
 w AS (
-  SELECT file_id, chunk_idx, digest, size, reused, CASE WHEN NOT reused THEN 0::BIGINT END AS pack_idx, CASE WHEN NOT reused THEN 0::BIGINT END AS pack_offset,
+  SELECT file_id, chunk_idx, digest, size, reused, pack_digest, CASE WHEN NOT reused THEN 0::BIGINT END AS pack_idx, CASE WHEN reused THEN index_offset ELSE 0::BIGINT END AS pack_offset,
          CASE WHEN reused OR size >= {PACK} THEN 0 ELSE size END AS held, CASE WHEN NOT reused AND size >= {PACK} THEN 1 ELSE 0 END::BIGINT AS pack
   FROM k WHERE chunk_idx = 0
   UNION ALL
-  SELECT k.file_id, k.chunk_idx, k.digest, k.size, k.reused, CASE WHEN NOT k.reused THEN w.pack END, CASE WHEN NOT k.reused THEN w.held END,
+  SELECT k.file_id, k.chunk_idx, k.digest, k.size, k.reused, k.pack_digest, CASE WHEN NOT k.reused THEN w.pack END, CASE WHEN k.reused THEN k.index_offset ELSE w.held END,
          CASE WHEN k.reused THEN w.held WHEN w.held + k.size >= {PACK} THEN 0 ELSE w.held + k.size END,
          CASE WHEN NOT k.reused AND w.held + k.size >= {PACK} THEN w.pack + 1 ELSE w.pack END
   FROM w JOIN k ON k.file_id = w.file_id AND k.chunk_idx = w.chunk_idx + 1)"""
+_PLAN = f"""{_CHUNKS}, {_INDEX.format(prior="file_id % 10 <> 0")}, {_FOLD}"""
 _LAYERS = """l AS (SELECT l_orderkey AS repo, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS layer_idx,
   CASE WHEN l_linenumber % 3 = 1 THEN 'pointer' ELSE 'blob' END AS media_type,
   CASE WHEN l_linenumber % 4 = 0 THEN NULL WHEN l_linenumber = 7 THEN '' ELSE 'part\\' || (l_partkey % 5) END AS title,
@@ -52,9 +54,15 @@ def _chunks(spark: SparkSession, d: str) -> DataFrame:
     return chunking.fixed_chunks(corpus.files(spark, d), CHUNK)
 
 
+def _refs(spark: SparkSession, d: str) -> DataFrame:
+    """References of an earlier revision: each of its files is a pack of its own."""
+    files = corpus.files(spark, d).filter("file_id % 10 <> 0")
+    files = files.withColumn("pack_digest", F.concat(F.lit("sha256:"), F.sha2("content", 256)))
+    return chunking.fixed_chunks(files, CHUNK, ("pack_digest",)).drop("payload")
+
+
 def _planned(spark: SparkSession, d: str) -> DataFrame:
-    chunks = _chunks(spark, d).drop("payload")
-    return packing.plan_packs(packing.classify(chunks, packing.dedup_index(chunks.filter("file_id % 10 <> 0"))), PACK)
+    return packing.plan_packs(packing.classify(_chunks(spark, d).drop("payload"), packing.dedup_index(_refs(spark, d))), PACK)
 
 
 @query(f"""WITH {_CHUNKS} SELECT file_id, chunk_idx, "offset", size, digest FROM h""")
@@ -77,19 +85,17 @@ def a05_a08_chunk_totals(spark, d):
     return _chunks(spark, d).groupBy("file_id").agg(F.count("*").alias("n_chunks"), F.sum("size").alias("total_size"))
 
 
-@query(f"""WITH {_CHUNKS} SELECT digest, file_id AS pack_file, "offset" AS pack_offset FROM h QUALIFY row_number() OVER (PARTITION BY digest ORDER BY file_id, chunk_idx) = 1""")
+@query(f"""WITH {_CHUNKS}, {_INDEX.format(prior="file_id % 10 <> 0")} SELECT digest, pack_digest, index_offset FROM x""")
 def a06_dedup_index(spark, d):
-    return packing.dedup_index(_chunks(spark, d))
+    return packing.dedup_index(_refs(spark, d))
 
 
-@query(f"WITH {_CHUNKS} SELECT file_id, chunk_idx, digest, size, digest IN (SELECT digest FROM h WHERE file_id % 10 <> 0) AS reused FROM h")
+@query(f"WITH {_CHUNKS}, {_INDEX.format(prior='file_id % 10 <> 0')} SELECT file_id, chunk_idx, digest, size, pack_digest, index_offset, pack_digest IS NOT NULL AS reused FROM h LEFT JOIN x USING (digest)")
 def j01_x05_classify(spark, d):
-    chunks = _chunks(spark, d).drop("payload", "offset")
-    known = _chunks(spark, d).filter("file_id % 10 <> 0")
-    return packing.classify(chunks, packing.dedup_index(known))
+    return packing.classify(_chunks(spark, d).drop("payload", "offset"), packing.dedup_index(_refs(spark, d)))
 
 
-@query(f"WITH RECURSIVE {_PLAN} SELECT file_id, chunk_idx, digest, size, reused, pack_idx, pack_offset FROM w")
+@query(f"WITH RECURSIVE {_PLAN} SELECT file_id, chunk_idx, digest, size, reused, pack_digest, pack_idx, pack_offset FROM w")
 def x06_pack_plan(spark, d):
     return _planned(spark, d)
 
@@ -105,15 +111,22 @@ def x08_pack_digest(spark, d):
     return packing.pack_digests(_planned(spark, d), _chunks(spark, d))
 
 
-@query("SELECT doc_id AS file_id, sha256(text) AS digest, octet_length(encode(text))::BIGINT AS size FROM documents WHERE octet_length(encode(text)) > 0")
+@query("SELECT doc_id AS file_id, sha256(coalesce(text, '')) AS digest, octet_length(encode(coalesce(text, '')))::BIGINT AS size FROM documents")
 def a03_x15_reassembled_digest(spark, d):
-    return packing.reassemble(_chunks(spark, d))
+    """Files put together again from their chunks; the SQL hashes the texts as they were."""
+    return packing.reassemble(_chunks(spark, d), corpus.files(spark, d))
 
 
-@query("SELECT doc_id AS file_id, true AS tiles FROM documents")
+@query(f"""WITH {_CHUNKS}, e AS (SELECT file_id, "offset" + CASE WHEN file_id % 11 = 3 AND chunk_idx = 1 THEN 1 ELSE 0 END AS o, size FROM h WHERE NOT (file_id % 7 = 5 AND chunk_idx = 2)),
+n AS (SELECT *, lag(o + size, 1, 0) OVER (PARTITION BY file_id ORDER BY o) AS before FROM e),
+s AS (SELECT file_id, bool_and(o = before) AS joined, max(o + size) AS stop FROM n GROUP BY 1)
+SELECT f.file_id, CASE WHEN octet_length(content) = 0 THEN stop IS NULL ELSE coalesce(joined AND stop = octet_length(content), false) END AS tiles FROM f LEFT JOIN s USING (file_id)""")
 def w04_tiling(spark, d):
+    """Which files their chunks cover without gap or overlap; some chunks are moved or lost."""
     lengths = corpus.files(spark, d).select("file_id", F.octet_length("content").cast("long").alias("length"))
-    return chunking.tiling(_chunks(spark, d), lengths)
+    moved = F.col("offset") + F.when((F.col("file_id") % 11 == 3) & (F.col("chunk_idx") == 1), 1).otherwise(0)
+    chunks = _chunks(spark, d).drop("payload").filter("not (file_id % 7 = 5 and chunk_idx = 2)").withColumn("offset", moved)
+    return chunking.tiling(chunks, lengths)
 
 
 @query("SELECT sha256(coalesce(text, '')) AS digest, count(*) AS copies, min(doc_id) AS first_file FROM documents GROUP BY 1")
@@ -132,8 +145,7 @@ def a17_u03_reuse_percent(spark, d):
 
 @query(f"WITH {_LAYERS} SELECT repo, layer_idx, sum(size) OVER (PARTITION BY repo ORDER BY layer_idx)::BIGINT - size AS file_offset FROM l")
 def w01_file_offset(spark, d):
-    rows = corpus.layers(spark, d)
-    return rows.select("repo", "layer_idx", packing.running_offset(rows, "repo", ["layer_idx"], F.col("size")).alias("file_offset"))
+    return corpus.layers(spark, d).select("repo", "layer_idx", "file_offset")
 
 
 @query(f"WITH {_LAYERS} SELECT repo, layer_idx, path AS title, media_type = 'pointer' AS is_chunked, size, digest FROM t WHERE path IS NOT NULL")
@@ -164,10 +176,9 @@ SELECT e.repo, e.layer_idx, e.media_type, e.title, e.size, e.digest, 'kept' AS o
 WHERE hd.gt IS NULL OR (hd.gt <> 'part/3' AND NOT EXISTS (SELECT 1 FROM n WHERE n.repo = e.repo AND n.path = hd.gt))
 UNION ALL SELECT repo, layer_idx, media_type, title, size, digest, 'new' FROM n""")
 def x11_u02_merge_manifest(spark, d):
-    rows = corpus.layers(spark, d)
-    new = rows.filter((F.col("layer_idx") >= 4) & manifest.title_of(F.col("title")).isNotNull())
-    deleted = rows.select("repo").distinct().withColumn("title", F.lit("part/3"))
-    return manifest.merge(rows.filter("layer_idx < 4"), new, deleted)
+    rows = corpus.layers(spark, d).withColumn("is_new", F.col("layer_idx") >= 4)
+    rows = rows.filter(~F.col("is_new") | manifest.title_of(F.col("title")).isNotNull())
+    return manifest.merge_flagged(rows, ["part/3"])
 
 
 @query("SELECT doc_id AS file_id, lang || '/' || doc_id || '.txt' AS title FROM documents WHERE (lang || '/' || doc_id || '.txt' GLOB 'en*' OR lang || '/' || doc_id || '.txt' GLOB '*/?3*') AND NOT lang || '/' || doc_id || '.txt' GLOB '*[67].txt'")
@@ -267,7 +278,7 @@ def j13_round_trip(spark, d):
 
 
 @query(f"""WITH {_CHUNKS} SELECT digest, min(repo) AS first_repo, count(DISTINCT repo) AS repos, count(*) AS uses, sum(size)::BIGINT AS bytes FROM h JOIN f USING (file_id) GROUP BY digest HAVING count(*) > 1""")
-def u05_shared_chunks(spark, d):
+def x05_shared_chunks(spark, d):
     rows = _chunks(spark, d).join(corpus.files(spark, d).select("file_id", "repo"), "file_id")
     return rows.groupBy("digest").agg(F.min("repo").alias("first_repo"), F.count_distinct("repo").alias("repos"), F.count("*").alias("uses"), F.sum("size").alias("bytes")).filter("uses > 1")
 

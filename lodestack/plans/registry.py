@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import integrity, reads  # noqa: F401 - they register their queries
+from . import catalogs, integrity, pointers, reads, scalars, streams  # noqa: F401 - they register their queries
 from .reference import ORACLE_SQL, QUERIES, flagship
 
 __all__ = ["ORACLE_SQL", "QUERIES", "flagship"]

@@ -18,7 +18,8 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as manifest layers: repo (order), layer_idx, media_type, title (missing, empty or a name), size, digest."""
+    """Line items as manifest layers: repo (order), layer_idx, media_type, title (missing, empty or a name), size, digest,
+    file_offset (the sizes before it). Number and offset come from one window."""
     li = table(spark, sf_dir, "lineitem")
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     n = F.col("l_linenumber")
@@ -29,6 +30,7 @@ def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 4 == 0, F.lit(None)).when(n == 7, "").otherwise(F.concat(F.lit("part\\"), (F.col("l_partkey") % 5).cast("string"))).alias("title"),
         F.col("l_quantity").cast("long").alias("size"),
         F.sha2(F.col("l_partkey").cast("string"), 256).alias("digest"),
+        (F.sum(F.col("l_quantity").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("l_quantity").cast("long")).alias("file_offset"),
     )
 
 
