@@ -1,4 +1,9 @@
-"""A corpus from raw documents to token digests in five stages, each over all that its predecessor kept."""
+"""A corpus from raw documents to token digests in five stages, each over all that its predecessor kept.
+
+Rows with a null doc_id or a null text go through every stage as the stage defines: a null text is judged and encoded as
+an empty one, is no near duplicate and holds neither a benchmark item nor a secret. An empty table gives an empty result.
+Columns of any name are kept up to the last stage, which returns token counts and digests.
+"""
 
 from __future__ import annotations
 
@@ -38,7 +43,7 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("secrets", secrets), ("bpe", bpe)]
 
-#: a trained classifier and a tokenizer are not SQL; tests/llm holds the operators of the stages against plain versions, one by one
+#: a trained classifier and a tokenizer are not SQL; tests/llm/test_pipeline.py holds the whole run against plain versions of the stages
 ORACLE_SQL = None
 
 

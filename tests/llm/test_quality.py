@@ -56,3 +56,69 @@ def test_long_text_pools_alike():
     got = Q.document_vectors(vectors, data, offsets)
     assert np.allclose(got[0, : Q.DIM], vectors[word[: first[1]]].mean(axis=0), atol=1e-4)
     assert not got[1, :-1].any()
+
+
+def plain_vectors(texts):
+    """Random indexing by loops: each word and each shape takes the index vectors of its neighbours' word and shape."""
+    plus, minus = Q.index_vectors()
+    total = np.zeros((Q.WORDS + Q.SHAPES, Q.DIM))
+    for text in texts:
+        word, shape, _ = Q.tokens(*text_buffer(pa.array([text])))
+        for k in range(len(word)):
+            for j in (k - 1, k + 1):
+                if 0 <= j < len(word):
+                    for row in (word[k], shape[k]):
+                        for other in (word[j], shape[j]):
+                            total[row, plus[other]] += 1
+                            total[row, minus[other]] -= 1
+    return total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
+
+
+def test_vectors_against_loops(spark):
+    texts = ["one two three one", "", None, "one", "BUY now!! BUY now!! 12", "été—une  fois\tune", "a b " * 300, "one two three one"]
+    got = Q.context_vectors(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3))
+    assert np.allclose(got, plain_vectors([t for t in texts if t]), atol=1e-5) and np.abs(got).sum() > 10
+    pooled = Q.document_vectors(got, *text_buffer(pa.array(texts)))
+    word, shape, _ = Q.tokens(*text_buffer(pa.array([texts[0]])))
+    assert np.allclose(pooled[0], np.r_[got[word].mean(axis=0), got[shape].mean(axis=0), np.log1p(4)], atol=1e-5)
+
+
+def test_gradients_against_differences():
+    pick = np.random.default_rng(1)
+    x, y, weight = pick.normal(size=(60, 5)), pick.integers(0, 2, 60), pick.uniform(0.5, 2, 60)
+    net = Q.Network(x, y, weight)
+    z = net._standard(x)
+
+    def loss():
+        logit = net._logit(z)
+        return (weight * np.logaddexp(0, np.where(y == 1, -1, 1) * logit)).sum() / len(y) + 0.5e-4 * ((net.p[0] ** 2).sum() + (net.p[2] ** 2).sum())
+
+    for p, g in zip(net.p, net._gradients(z, y, weight), strict=True):
+        for at in list(np.ndindex(p.shape))[:: max(1, p.size // 9)]:
+            old, p[at] = p[at], p[at] + 1e-5
+            up = loss()
+            p[at] = old - 1e-5
+            down = loss()
+            p[at] = old
+            assert abs((up - down) / 2e-5 - g[at]) < 1e-5
+
+
+def test_temperature_is_the_best_of_those_tried():
+    """On the rows apart, no other temperature tried gives a smaller loss."""
+    pick = np.random.default_rng(2)
+    x = pick.normal(size=(1000, 4))
+    y = (x[:, 0] + pick.normal(size=1000) > 0).astype(int)
+    net = Q.Network(x, y, np.ones(1000))
+    apart = np.random.default_rng(5).permutation(1000)[:200]
+    logit = net._logit(net._standard(x[apart]))
+    losses = {t: np.logaddexp(0, np.where(y[apart] == 1, -1, 1) * logit / t).sum() for t in np.geomspace(0.25, 8, 61)}
+    assert min(losses, key=losses.get) == net.temperature
+
+
+def test_a_repeated_labelled_id_teaches_once(spark):
+    good = [(k, f"the quiet house number {k} stands by the old river.") for k in range(60)]
+    bad = [(k, f"BUY {k}!! NOW!! " * 5) for k in range(60, 120)]
+    labels = spark.createDataFrame([(k, int(k < 60)) for k in range(120)], "doc_id long, quality int")
+    docs = spark.createDataFrame(good + bad + [good[1]] * 500, "doc_id long, text string")
+    by = {r.doc_id: r.predicted for r in Q.score_documents(docs, labels).collect()}
+    assert all(by[k] == (k < 60) for k in range(120))
