@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructType
 
@@ -51,3 +51,34 @@ def look_up(spark: SparkSession, path: str, asked: DataFrame) -> DataFrame:
     kinds = dict(asked.dtypes)
     entries = entries.select(F.col("repo").cast(kinds["repo"]).alias("repo"), F.col("revision").cast(kinds["revision"]).alias("revision"), "title", "digest")
     return asked.join(entries, ["repo", "revision", "title"], "left")
+
+
+COMMITS = "repo string, revision string, manifest string, place long"
+
+
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """(repo, revision, manifest, place): the last committed manifest of each repository."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.createDataFrame([], COMMITS)
+    last = F.max_by(F.struct("revision", "manifest", "place"), "place").alias("c")
+    return spark.read.schema(COMMITS).parquet(path).groupBy("repo").agg(last).select("repo", "c.*")
+
+
+def commit(asked: DataFrame, path: str) -> DataFrame:
+    """Commit manifests (repo, expected, revision, manifest) to a log; returns (repo, revision, outcome).
+
+    A commit is taken if it expects nothing or the repository's current revision; of several in one call for one
+    repository the first by revision is, and the others are in conflict with it. The log is only added to, one call
+    after the other.
+    """
+    spark = asked.sparkSession
+    now = current(spark, path).select("repo", F.col("revision").alias("_now"), "place")
+    rows = asked.join(now, "repo", "left").withColumn("fits", F.col("expected").isNull() | F.coalesce(F.col("expected") == F.col("_now"), F.lit(False)))
+    first = Window.partitionBy("repo", "fits").orderBy("revision")
+    rows = rows.withColumn("taken", F.col("fits") & (F.row_number().over(first) == 1))
+    out = scratch(spark, "outcomes")
+    rows.select("repo", "revision", "manifest", (F.coalesce("place", F.lit(0)) + 1).alias("place"), "taken").write.parquet(out)  # decided once, before the log changes
+    decided = spark.read.parquet(out)
+    decided.filter("taken").select("repo", "revision", "manifest", "place").write.mode("append").parquet(path)
+    return decided.select("repo", "revision", F.when(F.col("taken"), "committed").otherwise("conflict").alias("outcome"))

@@ -253,3 +253,15 @@ def f01_n01_annotated_files(spark, d):
     notes = F.map_filter(F.create_map(F.lit(pointers.TITLE), title, F.lit(pointers.FILE_SIZE), F.when(e % 7 > 0, text(e * 1000)), F.lit(pointers.FILE_DIGEST), F.concat(F.lit("sha256:"), F.sha2(text(F.col("user_id")), 256)), F.lit(pointers.CHUNK_COUNT), count), lambda k, v: v.isNotNull())
     layers = corpus.table(spark, d, "events").select(F.col("user_id").alias("repo"), e.alias("layer_idx"), F.when(e % 3 == 1, pointers.POINTER).otherwise(pointers.PLAIN).alias("media_type"), (100 + e % 900).alias("size"), F.concat(F.lit("sha256:"), F.sha2(text(e), 256)).alias("digest"), notes.alias("annotations"))
     return pointers.group_annotated(layers)
+
+
+@query("""WITH a AS (SELECT o_custkey AS repo, o_orderkey AS revision, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey * 10 WHEN o_orderkey % 3 = 1 THEN 0 END AS expected FROM orders),
+f AS (SELECT *, expected IS NULL OR expected = repo * 10 AS fits FROM a)
+SELECT repo::VARCHAR AS repo, revision::VARCHAR AS revision, CASE WHEN fits AND row_number() OVER (PARTITION BY repo, fits ORDER BY revision::VARCHAR) = 1 THEN 'committed' ELSE 'conflict' END AS outcome FROM f""")
+def k04_commits(spark, d):
+    """Commits to a log in which every repository has a first revision: those that expect it, or nothing, are taken, one a repository."""
+    orders = corpus.table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("repo"), F.col("o_orderkey").cast("string").alias("revision"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey") * 10).when(F.col("o_orderkey") % 3 == 1, 0).cast("string").alias("expected"))
+    path, none = sinks.scratch(spark, "commits"), F.lit(None).cast("string")
+    first = orders.select("repo").distinct()
+    sinks.commit(first.select("repo", none.alias("expected"), (F.col("repo").cast("long") * 10).cast("string").alias("revision"), F.lit("{}").alias("manifest")), path)
+    return sinks.commit(orders.withColumn("manifest", F.lit("{}")), path)

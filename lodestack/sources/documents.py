@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,3 +56,18 @@ def failures(reports: DataFrame, column: str) -> DataFrame:
     pick = lambda field: F.coalesce(*[F.when(F.col("stage") == s, F.col(f"t.{s}.{field}")) for s in ("call", "setup", "teardown")])
     rows = tests.filter(failed(F.col("t.outcome"))).withColumn("stage", stage).filter("stage is not null")
     return rows.select(*keep, F.coalesce("t.nodeid", F.lit("unknown")).alias("test"), "stage", pick("crash.message").alias("message"), pick("longrepr").alias("longrepr"))
+
+
+def in_memory(spark: SparkSession, items: list[tuple[str, object]]) -> DataFrame:
+    """(title, content) of things given by the caller: text (as UTF-8), bytes, open binary files, or paths, which Spark reads."""
+    given, paths = [], {}
+    for title, thing in items:
+        if isinstance(thing, os.PathLike):
+            paths[title] = os.fspath(thing)
+        else:
+            raw = thing.read() if hasattr(thing, "read") else thing
+            given.append((title, bytearray(raw.encode() if isinstance(raw, str) else raw)))
+    rows = spark.createDataFrame(given, "title string, content binary")  # what the caller holds in memory already
+    for title, path in paths.items():
+        rows = rows.unionByName(spark.read.format("binaryFile").load(path).select(F.lit(title).alias("title"), "content"))
+    return rows

@@ -1,5 +1,6 @@
 """Pointers, manifests, stores, pages and streams over small fixtures."""
 
+import io
 import json
 
 import pytest
@@ -112,3 +113,18 @@ def test_a_failed_stream_stays_failed(spark):
     assert [k for k, _ in stream.said] == ["batch", "fail"]
     with pytest.raises(RuntimeError):
         stream.run(each)
+
+
+def test_things_in_memory(spark, tmp_path):
+    (tmp_path / "f").write_bytes(b"\x00\xff")
+    items = [("a", "é"), ("b", b"\x01"), ("c", io.BytesIO(b"xyz")), ("d", tmp_path / "f"), ("e", io.StringIO("ü"))]
+    assert {r.title: bytes(r.content) for r in documents.in_memory(spark, items).collect()} == {"a": "é".encode(), "b": b"\x01", "c": b"xyz", "d": b"\x00\xff", "e": "ü".encode()}
+
+
+def test_a_commit_needs_the_revision_it_expects(spark):
+    path = sinks.scratch(spark, "t")
+    rows = lambda *r: spark.createDataFrame(r, "repo string, expected string, revision string, manifest string")
+    out = lambda df: {r.revision: r.outcome for r in df.collect()}
+    assert out(sinks.commit(rows(("a", None, "1", "m1"), ("b", "0", "9", "x")), path)) == {"1": "committed", "9": "conflict"}
+    assert out(sinks.commit(rows(("a", "1", "2", "m2"), ("a", "1", "3", "m3"), ("b", None, "4", "m4")), path)) == {"2": "committed", "3": "conflict", "4": "committed"}
+    assert {r.repo: (r.revision, r.manifest) for r in sinks.current(spark, path).collect()} == {"a": ("2", "m2"), "b": ("4", "m4")}
