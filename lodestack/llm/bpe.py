@@ -167,7 +167,7 @@ def build_lexicon(docs: DataFrame, bpe: ByteBPE, kinds, size: int) -> bytes:
     How many words have each count settles the least count to take, so the driver gets the lexicon's words only.
     """
     counts = cut(word_counts(docs, kinds, bpe.special).filter("n > 1"), "word_counts")
-    held = F.sum("words").over(Window.orderBy(F.desc("n")))  # over the distinct counts, not the words
+    held = F.sum("words").over(Window.orderBy(F.desc("n")))  # over the distinct counts, not the words: n words in all have fewer than the root of 2n counts
     least = counts.groupBy("n").agg(F.count("*").alias("words")).select("n", held.alias("held")).filter(F.col("held") <= size).agg(F.min("n")).first()[0]
     words = [] if least is None else [bytes(r[0]) for r in counts.filter(F.col("n") >= least).select("word").collect()]
     return compile_words({w: list(map(int, ids)) for w, ids in zip(words, bpe.merge_all(words), strict=True)})

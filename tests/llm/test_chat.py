@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from lodestack.llm import chat as C
 
 PUNCT = re.compile(r"[\s!-/:-@\[-`{-~]+")
@@ -74,18 +75,7 @@ def brute(messages):
     return out
 
 
-def compare(spark, convs):
-    rows = [(conv, *m, "clash", 1) for conv, messages in convs.items() for m in messages]
-    rows += [(conv, *messages[0], "clash", 1) for conv, messages in convs.items()]  # repeated
-    got = C.format_chats(spark.createDataFrame(rows, SCHEMA + ", thread string, position int")).collect()
-    want = [(conv, *r) for conv, messages in convs.items() for r in brute(messages)]
-    key = lambda r: (r[0] is None, r[0] or 0, r[1])
-    for g, w in zip(sorted((tuple(r) for r in got), key=key), sorted(want, key=key), strict=True):
-        assert g == w
-    return got
-
-
-def test_against_brute_force(spark):
+def random_conversations():
     pick, convs = random.Random(2), {}
     for conv in [*range(25), None]:
         messages, texts, n = [], [], pick.choice([1, 4, 9, 150])
@@ -104,46 +94,69 @@ def test_against_brute_force(spark):
             texts += own
             messages.append((turn, pick.choice(["user", "assistant"]), "\n".join(text + own) if pick.random() > 0.03 else None))
         convs[conv] = messages
-    got = compare(spark, convs)
-    assert sum(r.linked_quotes for r in got) > 100 and len({r.thread for r in got}) > 5
-    assert sum(r.position != r.reply_position for r in got) > 100
+    return convs
+
+
+def turns(*texts):
+    return [(k, "user", t) for k, t in enumerate(texts)]
 
 
-def test_reply_order_is_not_turn_order(spark):
-    texts = ["first thing", "second thing", "third thing", "> first thing\nto the first", "> second thing\nto the second", "on", "> third thing\nto the third", "> second thing\nagain"]
-    got = compare(spark, {1: [(k, "user", t) for k, t in enumerate(texts)]})
-    assert [r.turn for r in sorted(got, key=lambda r: r.reply_position)] == [0, 1, 2, 6, 4, 5, 7, 3]
-    by = {r.turn: r for r in got}
+LONG = 3 * C.CELL + 5
+ORDER, WRAPPED, COMMON, CELLS = 100, 101, 102, 103
+CONVS = random_conversations() | {
+    ORDER: turns("first thing", "second thing", "third thing", "> first thing\nto the first", "> second thing\nto the second", "on", "> third thing\nto the third", "> second thing\nagain"),
+    WRAPPED: turns("a quoted line of several words\nHi", "Hi", "> a quoted line\n> of several words", "> Hi", "one two three four five six seven eight nine ten", "x", "> one two three four five six seven eight nine eleven", "> five six nothing eight nine ten"),
+    COMMON: [(1, "user", "Hi\nThanks"), (5, "user", "Hi\nthe content\nThanks"), (6, "user", "Hi"), (7, "user", "> Hi\n> the content\n> Thanks\nyes"), (9, "user", "> hi\n>> thanks\n> Hi")],
+    CELLS: turns(*[f"> first\nline {k}" if k in (7, 2 * C.CELL + 3) else ("first" if k == 0 else f"line {k}") for k in range(LONG)]),
+}
+ODD = [(201, None, None, None), (201, 0, "user", ""), (201, 0, "assistant", "x"), (202, 5, "user", "> " * 50 + "deep"), (202, 6, "user", "a\n" * 20_000), (202, 7, "user", "> a\n" * 20_000), (203, -70, "user", "below"), (203, -3, "user", "> below")]
+
+
+@pytest.fixture(scope="module")
+def got(spark):
+    """All conversations in one run, by conversation and turn order."""
+    rows = [(conv, *m, "clash", 1) for conv, messages in CONVS.items() for m in messages]
+    rows += [(conv, *messages[0], "clash", 1) for conv, messages in CONVS.items()]  # repeated
+    rows += [(*r, "clash", 1) for r in ODD]
+    out = {}
+    for r in sorted(C.format_chats(spark.createDataFrame(rows, SCHEMA + ", thread string, position int")).collect(), key=lambda r: r.position):
+        out.setdefault(r.conv_id, []).append(r)
+    return out
+
+
+def test_against_brute_force(got):
+    for conv, messages in CONVS.items():
+        assert [tuple(r)[1:] for r in got[conv]] == brute(messages)
+    every = [r for own in got.values() for r in own]
+    assert sum(r.linked_quotes for r in every) > 100 and len({r.thread for r in every}) > 5
+    assert sum(r.position != r.reply_position for r in every) > 100
+
+
+def test_reply_order_is_not_turn_order(got):
+    assert [r.turn for r in sorted(got[ORDER], key=lambda r: r.reply_position)] == [0, 1, 2, 6, 4, 5, 7, 3]
+    by = {r.turn: r for r in got[ORDER]}
     assert (by[4].depth, by[5].depth, by[6].depth, by[3].depth) == (2, 3, 3, 1)
-    order = [r.turn for r in sorted(got, key=lambda r: r.reply_position)]
-    assert order.index(3) == 7 and order.index(6) < order.index(4) < order.index(7)
 
 
-def test_quotes_however_wrapped(spark):
-    texts = ["a quoted line of several words\nHi", "Hi", "> a quoted line\n> of several words", "> Hi", "one two three four five six seven eight nine ten", "x", "> one two three four five six seven eight nine eleven", "> five six nothing eight nine ten"]
-    got = {r.turn: r for r in compare(spark, {1: [(k, "user", t) for k, t in enumerate(texts)]})}
-    assert [got[k].reply_to for k in (2, 3, 6, 7)] == [0, 1, 4, 6]
-    assert [got[k].linked_quotes for k in (2, 3, 6, 7)] == [1, 1, 1, 0]
+def test_quotes_however_wrapped(got):
+    by = {r.turn: r for r in got[WRAPPED]}
+    assert [by[k].reply_to for k in (2, 3, 6, 7)] == [0, 1, 4, 6]
+    assert [by[k].linked_quotes for k in (2, 3, 6, 7)] == [1, 1, 1, 0]
 
 
-def test_common_lines(spark):
+def test_common_lines(got):
     """A passage of lines that many say links to the message that says it as a whole."""
-    compare(spark, {1: [(1, "user", "Hi\nThanks"), (5, "user", "Hi\nthe content\nThanks"), (6, "user", "Hi"), (7, "user", "> Hi\n> the content\n> Thanks\nyes"), (9, "user", "> hi\n>> thanks\n> Hi")]})
+    assert {r.turn: r.reply_to for r in got[COMMON]}[7] == 5
+
+
+def test_no_cell_takes_a_long_conversation(got):
+    by = {r.turn: r for r in got[CELLS]}
+    assert [by[k].thread for k in (0, 6, 7, 2 * C.CELL, 2 * C.CELL + 3, LONG - 1)] == [0, 0, 7, 7, 2 * C.CELL + 3, 2 * C.CELL + 3]
+    assert by[7].reply_to == 0 and by[8].reply_to == 7 and [by[k].position for k in range(LONG)] == list(range(LONG))
 
 
-def test_edges(spark):
+def test_edges(spark, got):
     assert C.format_chats(spark.createDataFrame([], SCHEMA)).count() == 0
-    rows = [(1, None, None, None), (1, 0, "user", ""), (1, 0, "assistant", "x"), (2, 5, "user", "> " * 50 + "deep"), (2, 6, "user", "a\n" * 20_000), (2, 7, "user", "> a\n" * 20_000), (3, -70, "user", "below"), (3, -3, "user", "> below")]
-    got = C.format_chats(spark.createDataFrame(rows, SCHEMA)).collect()
-    assert len(got) == 8 and max(r.quote_depth for r in got) == 50
-    assert sorted(r.position for r in got if r.conv_id == 1) == [0, 1, 2]
-    assert {(r.turn, r.reply_to) for r in got if r.conv_id == 2} == {(5, None), (6, 5), (7, 6)}
-    assert {(r.turn, r.reply_to) for r in got if r.conv_id == 3} == {(-70, None), (-3, -70)}
-
-
-def test_no_cell_takes_a_long_conversation(spark):
-    n = 3 * C.CELL + 5
-    rows = [(1, k, "user", f"> first\nline {k}" if k in (7, 2 * C.CELL + 3) else ("first" if k == 0 else f"line {k}")) for k in range(n)]
-    got = {r.turn: r for r in C.format_chats(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert [got[k].thread for k in (0, 6, 7, 2 * C.CELL, 2 * C.CELL + 3, n - 1)] == [0, 0, 7, 7, 2 * C.CELL + 3, 2 * C.CELL + 3]
-    assert got[7].reply_to == 0 and got[8].reply_to == 7 and [got[k].position for k in range(n)] == list(range(n))
+    assert [r.position for r in got[201]] == [0, 1, 2] and max(r.quote_depth for r in got[202]) == 50
+    assert {(r.turn, r.reply_to) for r in got[202]} == {(5, None), (6, 5), (7, 6)}
+    assert {(r.turn, r.reply_to) for r in got[203]} == {(-70, None), (-3, -70)}
