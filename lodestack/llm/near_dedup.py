@@ -23,7 +23,7 @@ UNITS = 1 << 15
 #: rounds of comparing buckets with one member each, before what is left is compared pairwise; shingles remembered by a verifying task
 STAR_ROUNDS, MEMORY = 6, 1 << 20
 #: members of an open bucket that one task compares with all of that bucket
-BLOCK = 256
+BLOCK = 1024
 
 
 def band_members(samples: int = SAMPLES, bands: int = BANDS, size: int = BAND_SIZE) -> np.ndarray:
