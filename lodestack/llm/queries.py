@@ -15,12 +15,8 @@ from .token_store import op3_token_store
 
 QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_sharding, op3_token_store, op4_embedding_dedup, op5_language, op6_chat, op7_decontaminate, op8_quality, op9_secrets, op10_bpe)}
 
-SHINGLES = """
-    SELECT DISTINCT {id}, array_to_string(w[i:i + 4], ' ') AS shingle
-    FROM (SELECT {id}, w, unnest(range(1, len(w) - 3)) AS i
-          FROM (SELECT {id}, regexp_extract_all(lower(text), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM {table} WHERE text IS NOT NULL)
-          WHERE len(w) >= 5)
-"""
+WORDS = "SELECT {id}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}\\p{{M}}]+') AS w FROM {table} WHERE text IS NOT NULL"
+SHINGLES = "SELECT DISTINCT {id}, array_to_string(w[i:i + 4], ' ') AS shingle FROM (SELECT {id}, w, unnest(range(1, len(w) - 3)) AS i FROM {words} WHERE len(w) >= 5)"
 
 ORACLE_SQL = {
     "op4_embedding_dedup": """
@@ -38,11 +34,13 @@ SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, c.component_id, e.vec_id =
 FROM embeddings e JOIN class c USING (vec_id) LEFT JOIN degree d USING (vec_id) LEFT JOIN copies k ON e.embedding = k.embedding
 """,
     "op7_decontaminate": f"""
-WITH i AS ({SHINGLES.format(id="item_id", table="benchmark")}),
-d AS ({SHINGLES.format(id="doc_id", table="documents")}),
+WITH iw AS ({WORDS.format(id="item_id", table="benchmark")}), dw AS ({WORDS.format(id="doc_id", table="documents")}),
+i AS ({SHINGLES.format(id="item_id", words="iw")}), d AS ({SHINGLES.format(id="doc_id", words="dw")}),
 size AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id),
-shared AS (SELECT doc_id, item_id, count(*) AS n FROM d JOIN i USING (shingle) GROUP BY doc_id, item_id)
+shared AS (SELECT doc_id, item_id, count(*) AS n FROM d JOIN i USING (shingle) GROUP BY doc_id, item_id),
+short AS (SELECT item_id, ' ' || array_to_string(w, ' ') || ' ' AS run FROM iw WHERE len(w) BETWEEN 1 AND 4)
 SELECT doc_id, item_id, shared.n::INTEGER AS shared, size.n::INTEGER AS item_shingles, shared.n / size.n::DOUBLE AS containment
 FROM shared JOIN size USING (item_id) WHERE shared.n >= 0.8 * size.n - 1e-9
+UNION ALL SELECT DISTINCT doc_id, item_id, 1::INTEGER, 1::INTEGER, 1::DOUBLE FROM short JOIN dw ON contains(' ' || array_to_string(w, ' ') || ' ', run)
 """,
 }
