@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batches, cut, table
+from .common import batches, cut, give_back, table
 from .kernels import span_hashes, text_buffer
 from .pretokens import Encoder, classes, pieces, split_special
 from .transducer import Transducer, compile_words
@@ -173,11 +173,15 @@ def build_lexicon(docs: DataFrame, bpe: ByteBPE, kinds, size: int) -> bytes:
     return compile_words({w: list(map(int, ids)) for w, ids in zip(words, bpe.merge_all(words), strict=True)})
 
 
-@lru_cache(2)
-def _encoder(key: str, parts) -> tuple[Encoder, list[bytes]]:
-    """One encoder for each Python worker and query: the lexicon is mapped from a file of the worker's own."""
-    spec, lexicon, kinds = (x.value for x in parts.shared)
-    bpe = ByteBPE(spec)
+@lru_cache(1)
+def _merges(spec: str) -> ByteBPE:
+    """The merge table, kept by each Python worker: its size is the tokenizer's."""
+    return ByteBPE(spec)
+
+
+def _encoder(spec: str, lexicon: bytes, kinds: np.ndarray) -> tuple[Encoder, list[bytes]]:
+    """An encoder for one task: the lexicon is mapped from a file of the worker's own. It goes with the task, as workers live on and serve later stages too."""
+    bpe = _merges(spec)
     with tempfile.NamedTemporaryFile("wb", suffix=".fst", delete=False) as f:
         f.write(lexicon)
     known = Transducer(f.name)
@@ -195,19 +199,6 @@ def _encoder(key: str, parts) -> tuple[Encoder, list[bytes]]:
     return Encoder(encode, bpe.special, kinds), [bpe.bytes_of.get(i, b"") for i in range(size)]
 
 
-class _Parts:
-    """Broadcast parts of an encoder; equal in the eyes of the cache, whose key is the query's own."""
-
-    def __init__(self, *shared):
-        self.shared = shared
-
-    def __eq__(self, other):
-        return isinstance(other, _Parts)
-
-    def __hash__(self):
-        return 0
-
-
 def bpe_round_trip(docs: DataFrame, tokenizer: str | None = None, lexicon_words: int = 65_536, ids: bool = False) -> DataFrame:
     """Encode every whole text and decode the ids again.
 
@@ -222,10 +213,10 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str | None = None, lexicon_words:
     bpe, kinds = ByteBPE(spec), spark.sparkContext.broadcast(classes())
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     lexicon = build_lexicon(docs, bpe, kinds, lexicon_words)
-    parts, key = _Parts(*(spark.sparkContext.broadcast(x) for x in (spec, lexicon)), kinds), hashlib.sha256(spec.encode() + lexicon).hexdigest()
+    shared = [*map(spark.sparkContext.broadcast, (spec, lexicon)), kinds]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, token = _encoder(key, parts)
+        encoder, token = _encoder(*(x.value for x in shared))
         for batch in batches(it, BATCH_BYTES):
             all_ids, at = encoder(*text_buffer(batch.column("text")))
             all_ids, rows = all_ids.astype("<u4"), []
@@ -237,6 +228,8 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str | None = None, lexicon_words:
             made = list(zip(*rows, strict=True))
             kinds_of = (pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(made, kinds_of))], names)  # noqa: B905
+        del encoder
+        give_back()
 
     schema = "doc_id {}, n_tokens long, ids_sha256 string, decoded_sha256 string".format(dict(docs.dtypes)["doc_id"]) + ", ids binary, decoded string" * ids
     names = [x.split()[0] for x in schema.split(", ")]

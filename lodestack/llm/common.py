@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,10 +81,18 @@ def ranged(rows: DataFrame, order: list[Column], name: str, rows_a_range: int =
     return cut(rows.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()), name)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on from stage to stage, and what they hold counts as the executor's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc's; others keep less
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def batches(it: Iterator, max_bytes: int, column: str = "text") -> Iterator:
     """Cut Arrow batches to whole rows of about max_bytes of text, which bounds the memory of what follows."""
     from .kernels import text_buffer
 
+    give_back()  # what the worker's earlier tasks left
     for batch in it:
         if batch.num_rows == 0:
             continue

@@ -59,3 +59,20 @@ def test_transducer_shares_suffixes(tmp_path):
 def test_transducer_without_words(tmp_path):
     (tmp_path / "x.fst").write_bytes(compile_words({}))
     assert Transducer(str(tmp_path / "x.fst")).get_all([b"a", b""]) == [None, None]
+
+
+def test_no_worker_keeps_an_encoder(spark):
+    docs = spark.createDataFrame([(n, f"word number {n} " * 3) for n in range(40)], "doc_id long, text string").repartition(4)
+    assert len(bpe_round_trip(docs).collect()) == 40
+
+    def held(it):
+        import gc
+
+        import pyarrow as pa
+        from lodestack.llm.pretokens import Encoder
+
+        gc.collect()
+        for _ in it:
+            yield pa.RecordBatch.from_pydict({"n": [sum(isinstance(x, Encoder) for x in gc.get_objects())]})
+
+    assert {r.n for r in spark.range(8).repartition(4).mapInArrow(held, "n long").collect()} == {0}
