@@ -7,19 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import sinks
+from ..operators import chunking, sinks
+from ..sources import corpus
 from ..streaming import stateful
-from .reference import _CHUNKS, _PLAN, PACK, _chunks, _planned, query
+from .reference import _CHUNKS, _PLAN, CHUNK, PACK, _chunks, _planned, query
 
 
 def _in_batches(rows: DataFrame, batches: int, by: Column, state: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
     """What a stateful stream gives if the rows come in so many batches, by a number from 0. The stream ends after each and goes on from its checkpoint."""
     spark = rows.sparkSession
-    source, out, checkpoint = (sinks.scratch(spark, name) for name in ("stream", "out", "checkpoint"))
-    rows = rows.withColumn("_by", by)
+    whole, source, out, checkpoint = (sinks.scratch(spark, name) for name in ("rows", "stream", "out", "checkpoint"))
+    numbered = rows.withColumn("_by", by.cast("int"))
+    numbered.write.partitionBy("_by").parquet(whole)  # else each batch makes all rows again
     for k in range(batches):
-        rows.filter(F.col("_by") == k).drop("_by").write.mode("append").parquet(source)
-        made = stateful.run_all(state(spark.readStream.schema(rows.drop("_by").schema).parquet(source)), out, checkpoint, mode)
+        spark.read.schema(numbered.schema).parquet(whole).filter(F.col("_by") == k).drop("_by").write.mode("append").parquet(source)
+        made = stateful.run_all(state(spark.readStream.schema(rows.schema).parquet(source)), out, checkpoint, mode)
     return made
 
 
@@ -40,8 +42,8 @@ g AS (SELECT *, coalesce(max(stop) OVER (PARTITION BY file_id, batch ORDER BY o,
 SELECT file_id, batch::INTEGER AS batch, coalesce(min(covered) FILTER (o > covered), max(stop))::BIGINT AS watermark, count(*) FILTER (o > covered) AS waiting, coalesce(min(covered) FILTER (o > covered), max(stop)) = any_value(total) AND count(*) FILTER (o > covered) = 0 AS whole FROM g GROUP BY file_id, batch""")
 def t04_streamed_watermark(spark, d):
     """How far each file is covered after each batch of extents, some of which never come."""
-    lengths = _chunks(spark, d).groupBy("file_id").agg(F.sum("size").alias("total"))
-    rows = _chunks(spark, d).filter("(file_id + chunk_idx) % 7 <> 5").select("file_id", "chunk_idx", "offset", "size").join(lengths, "file_id")
+    files = corpus.files(spark, d).withColumn("total", F.octet_length("content").cast("long"))
+    rows = chunking.fixed_chunks(files, CHUNK, ("total",)).filter("(file_id + chunk_idx) % 7 <> 5").select("file_id", "chunk_idx", "offset", "size", "total")
     return _in_batches(rows, 3, (F.col("file_id") + F.col("chunk_idx")) * 5 % 3, stateful.stream_watermark, "update")
 
 

@@ -12,7 +12,35 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 PACKS = "file_id long, pack_idx long, size long, n_chunks long"
 PACK_STATE = "due long, held long, n long, pack long, ended boolean, idx array<long>, sizes array<long>"
 EXTENTS = "file_id long, watermark long, waiting long, whole boolean"
-EXTENT_STATE = "watermark long, starts array<long>, stops array<long>, total long"
+EXTENT_STATE = "file array<long>, watermark array<long>, starts array<array<long>>, stops array<array<long>>, total array<long>"
+#: 2 to this power: the ids of neighbouring files that share a group. A group costs milliseconds, however few its rows.
+NEIGHBOURS = 7
+
+
+def _by_neighbours(rows: DataFrame):
+    return rows.withColumn("neighbours", F.shiftright("file_id", NEIGHBOURS)).groupBy("neighbours")
+
+
+def _of_state(state: GroupState) -> dict:
+    """What is kept of each file of a group."""
+    return {file: own for file, *own in zip(*state.get, strict=True)} if state.exists else {}
+
+
+def _keep(state: GroupState, files: dict) -> None:
+    if files:
+        state.update(tuple(map(list, zip(*((file, *own) for file, own in files.items()), strict=True))))
+    elif state.exists:
+        state.remove()
+
+
+def _by_file(key: tuple, batches: Iterator[pd.DataFrame], *columns: str) -> dict:
+    """The values of the columns in each row of a group, by file. Files without an id are a group of their own."""
+    out: dict = {}
+    for rows in batches:
+        ids = [None] * len(rows) if pd.isna(key[0]) else rows["file_id"].tolist()
+        for file, *own in zip(ids, *(rows[c].tolist() for c in columns), strict=True):
+            out.setdefault(file, []).append(own)
+    return out
 
 
 def stream_packs(chunks: DataFrame, pack_size: int) -> DataFrame:
@@ -50,26 +78,29 @@ def stream_packs(chunks: DataFrame, pack_size: int) -> DataFrame:
 def stream_watermark(extents: DataFrame) -> DataFrame:
     """(file_id, watermark, waiting, whole) after each batch that touches a file, from a stream of extents (file_id,
     offset, size, total): bytes covered from its start without a gap, extents beyond a gap, and whether the file is
-    whole. Extents may come in any order; what lies beyond a gap waits in the state, merged where it touches."""
+    whole. Extents may come in any order; what lies beyond a gap waits in the state, merged where it touches. Files of
+    neighbouring ids share a state, in which each has its own."""
 
     def feed(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        watermark, starts, stops, total = state.get if state.exists else (0, [], [], -1)
-        spans = list(zip(starts, stops, strict=True))
-        for rows in batches:
-            spans += zip(rows["offset"].tolist(), (rows["offset"] + rows["size"]).tolist(), strict=True)
-            total = int(rows["total"].iloc[0]) if len(rows) else total
-        left: list[list[int]] = []
-        for a, b in sorted(spans):
-            if a <= watermark:
-                watermark = max(watermark, b)
-            elif left and a <= left[-1][1]:
-                left[-1][1] = max(left[-1][1], b)
-            else:
-                left.append([a, b])
-        state.update((watermark, [a for a, _ in left], [b for _, b in left], total))
-        yield pd.DataFrame([(key[0], watermark, len(left), not left and watermark == total)], columns=["file_id", "watermark", "waiting", "whole"])
-
-    return extents.groupBy("file_id").applyInPandasWithState(feed, EXTENTS, EXTENT_STATE, "update", GroupStateTimeout.NoTimeout)
+        files, out = _of_state(state), []
+        for file, rows in _by_file(key, batches, "offset", "size", "total").items():
+            watermark, starts, stops, _ = files.get(file, (0, [], [], -1))
+            spans = [*zip(starts, stops, strict=True), *((offset, offset + size) for offset, size, _ in rows)]
+            total = int(rows[0][2])
+            left: list[list[int]] = []
+            for a, b in sorted(spans):
+                if a <= watermark:
+                    watermark = max(watermark, b)
+                elif left and a <= left[-1][1]:
+                    left[-1][1] = max(left[-1][1], b)
+                else:
+                    left.append([a, b])
+            files[file] = (watermark, [a for a, _ in left], [b for _, b in left], total)
+            out.append((file, watermark, len(left), not left and watermark == total))
+        _keep(state, files)
+        yield pd.DataFrame(out, columns=["file_id", "watermark", "waiting", "whole"])
+
+    return _by_neighbours(extents).applyInPandasWithState(feed, EXTENTS, EXTENT_STATE, "update", GroupStateTimeout.NoTimeout)
 
 
 class Bounded:

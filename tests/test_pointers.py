@@ -99,6 +99,19 @@ def test_streamed_packs_are_a_prefix_of_the_plan(spark):
     assert got == want
 
 
+def test_watermarks_of_files_of_neighbouring_ids(spark):
+    source, out, checkpoint = (sinks.scratch(spark, n) for n in ("s", "o", "c"))
+    ids = [None, -1, -129, *range(300)]
+    table = spark.createDataFrame([(i, k * 60, 60, 180) for i in ids for k in range(3)], "file_id long, offset long, size long, total long")
+    for k in (0, 120, 60):
+        table.filter(f"offset = {k} and (file_id is null or offset <> 60 or file_id % 2 = 0)").write.mode("append").parquet(source)
+        got = stateful.run_all(stateful.stream_watermark(spark.readStream.schema(table.schema).parquet(source)), out, checkpoint, "update")
+    want = [(i, *r) for i in ids for r in [(0, 60, 0, False), (1, 60, 1, False), *([(2, 180, 0, True)] if i is None or i % 2 == 0 else [])]]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(((r.file_id, r.batch, r.watermark, r.waiting, r.whole) for r in got.collect()), key=key) == sorted(want, key=key)
+    assert spark.read.format("statestore").load(checkpoint).count() == 6  # a group has 128 ids, not one
+
+
 def test_a_failed_stream_stays_failed(spark):
     source = sinks.scratch(spark, "s")
     spark.range(10).repartition(2).write.parquet(source)
