@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 PACKS = "file_id long, pack_idx long, size long, n_chunks long"
-PACK_STATE = "due long, held long, n long, pack long, ended boolean, idx array<long>, sizes array<long>"
+PACK_STATE = "file array<long>, due array<long>, held array<long>, n array<long>, pack array<long>, ended array<boolean>, idx array<array<long>>, sizes array<array<long>>"
 EXTENTS = "file_id long, watermark long, waiting long, whole boolean"
 EXTENT_STATE = "file array<long>, watermark array<long>, starts array<array<long>>, stops array<array<long>>, total array<long>"
 #: 2 to this power: the ids of neighbouring files that share a group. A group costs milliseconds, however few its rows.
@@ -47,32 +47,34 @@ def stream_packs(chunks: DataFrame, pack_size: int) -> DataFrame:
     """(file_id, pack_idx, size, n_chunks) of each new pack as soon as it is complete, from a stream of new chunks
     (file_id, chunk_idx, size, last): `chunk_idx` counts the new chunks of a file from 0, `last` marks its last one.
 
-    State is kept by file: the open pack, and chunks that came before their turn. A chunk joins the open pack, which
-    closes once it holds pack_size; the last chunk closes what is open. So what is given is a prefix of the plan at any
-    time, and the whole plan in the end. A file whose end never comes keeps its open pack waiting.
+    State is kept of each file, with that of files of neighbouring ids: the open pack, and chunks that came before their
+    turn. A chunk joins the open pack, which closes once it holds pack_size; the last chunk closes what is open. So what
+    is given is a prefix of the plan at any time, and the whole plan in the end. A file whose end never comes keeps its
+    open pack waiting.
     """
 
     def feed(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        due, held, n, pack, ended, idx, sizes = state.get if state.exists else (0, 0, 0, 0, False, [], [])
-        waiting, out = dict(zip(idx, sizes, strict=True)), []
-        for rows in batches:
-            waiting.update(zip(rows["chunk_idx"].tolist(), rows["size"].tolist(), strict=True))
-            if rows["last"].any():
-                waiting[-1 - int(rows.loc[rows["last"], "chunk_idx"].iloc[0])] = 0  # where the file ends
-        end = next((-1 - k for k in waiting if k < 0), None)
-        while due in waiting:
-            held, n = held + waiting.pop(due), n + 1
-            if held >= pack_size or due == end:
-                out.append((key[0], pack, held, n))
-                held, n, pack = 0, 0, pack + 1
-            due += 1
-        if end is not None and due > end:
-            state.remove()
-        else:
-            state.update((due, held, n, pack, end is not None, list(waiting), list(waiting.values())))
+        files, out = _of_state(state), []
+        for file, rows in _by_file(key, batches, "chunk_idx", "size", "last").items():
+            due, held, n, pack, _, idx, sizes = files.pop(file, (0, 0, 0, 0, False, [], []))
+            waiting = dict(zip(idx, sizes, strict=True))
+            for k, size, last in rows:
+                waiting[k] = size
+                if last:
+                    waiting[-1 - k] = 0  # where the file ends
+            end = next((-1 - k for k in waiting if k < 0), None)
+            while due in waiting:
+                held, n = held + waiting.pop(due), n + 1
+                if held >= pack_size or due == end:
+                    out.append((file, pack, held, n))
+                    held, n, pack = 0, 0, pack + 1
+                due += 1
+            if end is None or due <= end:
+                files[file] = (due, held, n, pack, end is not None, list(waiting), list(waiting.values()))
+        _keep(state, files)
         yield pd.DataFrame(out, columns=["file_id", "pack_idx", "size", "n_chunks"])
 
-    return chunks.groupBy("file_id").applyInPandasWithState(feed, PACKS, PACK_STATE, "append", GroupStateTimeout.NoTimeout)
+    return _by_neighbours(chunks).applyInPandasWithState(feed, PACKS, PACK_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def stream_watermark(extents: DataFrame) -> DataFrame:

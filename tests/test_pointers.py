@@ -99,6 +99,20 @@ def test_streamed_packs_are_a_prefix_of_the_plan(spark):
     assert got == want
 
 
+def test_packs_of_files_of_neighbouring_ids(spark):
+    source, out, checkpoint = (sinks.scratch(spark, n) for n in ("s", "o", "c"))
+    ids = [None, -1, -129, *range(300)]
+    table = spark.createDataFrame([(i, k, 60, k == 2 and i != 5) for i in ids for k in range(3)], "file_id long, chunk_idx long, size long, last boolean")
+    for k in (2, 0, 1):
+        table.filter(f"chunk_idx = {k}").write.mode("append").parquet(source)
+        got = stateful.run_all(stateful.stream_packs(spark.readStream.schema(table.schema).parquet(source), 100), out, checkpoint)
+        if k == 2:
+            assert spark.read.format("statestore").load(checkpoint).count() == 6  # a group has 128 ids, not one
+    want = [(-7 if i is None else i, p, s, n) for i in ids for p, s, n in ((0, 120, 2), (1, 60, 1)) if (i, p) != (5, 1)]
+    assert sorted(tuple(r) for r in got.fillna(-7).collect()) == sorted(want)
+    assert spark.read.format("statestore").load(checkpoint).count() == 1  # the others are whole
+
+
 def test_watermarks_of_files_of_neighbouring_ids(spark):
     source, out, checkpoint = (sinks.scratch(spark, n) for n in ("s", "o", "c"))
     ids = [None, -1, -129, *range(300)]
