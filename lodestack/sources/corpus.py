@@ -20,17 +20,20 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as manifest layers: repo (order), layer_idx, media_type, title (missing, empty or a name), size, digest,
     file_offset (the sizes before it). Number and offset come from one window."""
-    li = table(spark, sf_dir, "lineitem")
-    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    li = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "repo")  # renamed before the window: what follows by repository is not shuffled again
+    order = Window.partitionBy("repo").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    size = F.col("l_quantity").cast("long")
+    before = F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0)) - size
+    li = li.withColumns({"layer_idx": (F.row_number().over(order) - 1).cast("long"), "file_offset": before})
     n = F.col("l_linenumber")
-    return li.select(
-        F.col("l_orderkey").alias("repo"),
-        (F.row_number().over(order) - 1).cast("long").alias("layer_idx"),
+    return li.select(  # made after the shuffle, which digests would double
+        "repo",
+        "layer_idx",
         F.when(n % 3 == 1, "pointer").otherwise("blob").alias("media_type"),
         F.when(n % 4 == 0, F.lit(None)).when(n == 7, "").otherwise(F.concat(F.lit("part\\"), (F.col("l_partkey") % 5).cast("string"))).alias("title"),
-        F.col("l_quantity").cast("long").alias("size"),
+        size.alias("size"),
         F.sha2(F.col("l_partkey").cast("string"), 256).alias("digest"),
-        (F.sum(F.col("l_quantity").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("l_quantity").cast("long")).alias("file_offset"),
+        "file_offset",
     )
 
 

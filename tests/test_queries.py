@@ -36,3 +36,9 @@ def test_against_sql(spark, db, name):
 
 def test_flagship(spark):
     assert registry.flagship(spark, SF).count() > 0
+
+
+def test_layers_are_shuffled_once(spark):
+    plan = registry.QUERIES["x11_u02_merge_manifest"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "sha2" not in plan[plan.index("Exchange") :]  # digests are made above it
