@@ -115,9 +115,9 @@ def fingerprints(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(run, f"vec_id long, digest binary, width int, embedding {kind}")
 
 
-def _sampled(rows: DataFrame, count: int, sample: int = SAMPLE) -> DataFrame:
-    """About `sample` of `count` rows by a hash of the node."""
-    return rows.filter(F.pmod(F.xxhash64(F.lit("forest"), "node"), F.lit(1 << 30)) < min(1 << 30, (sample << 30) // max(1, count) + 1))
+def _sampled(rows: DataFrame, count: int) -> DataFrame:
+    """About SAMPLE of `count` rows by a hash of the node."""
+    return rows.filter(F.pmod(F.xxhash64(F.lit("forest"), "node"), F.lit(1 << 30)) < min(1 << 30, (SAMPLE << 30) // max(1, count) + 1))
 
 
 def plant(nodes: DataFrame, count: int, trees: int, leaf: int) -> DataFrame:
@@ -171,7 +171,7 @@ def crowded_centres(placed: DataFrame, leaf: int, cosine: float) -> np.ndarray |
         return None
     inside = placed.select("node", "embedding", F.explode("leaves").alias("leaf")).join(sizes, "leaf")
     # leaves of one size sample the same nodes, in the same order: they mostly find the same centres
-    few = inside.withColumn("at", F.pmod(F.xxhash64(F.lit("dense"), "node"), F.lit(1 << 30))).filter(F.col("at") < F.lit(SAMPLE // 2) * (1 << 30) / F.col("n"))
+    few = inside.withColumn("at", F.pmod(F.xxhash64(F.lit("dense"), "node"), F.lit(1 << 30))).filter(F.col("at") < F.lit((SAMPLE // 2) << 30) / F.col("n"))
 
     def find(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("at", "ascending"), ("node", "ascending")])
@@ -270,7 +270,7 @@ def split_large(placed: DataFrame, leaf: int, round_: int) -> DataFrame | None:
     kind = dict(placed.dtypes)["embedding"]
     inside = cut(placed.select("node", "embedding", F.explode("leaves").alias("leaf")).join(sizes, "leaf"), "inside")
     deal = F.ceil(F.col("n") / PLACED).cast("long")
-    few = inside.filter(F.pmod(F.xxhash64(F.lit("forest"), "node", "leaf"), F.lit(1 << 20)) < F.greatest(F.lit(1), (F.lit(SAMPLE // 2) * (1 << 20) / F.col("n")).cast("long")))
+    few = inside.filter(F.pmod(F.xxhash64(F.lit("forest"), "node", "leaf"), F.lit(1 << 20)) < F.greatest(F.lit(1), (F.lit((SAMPLE // 2) << 20) / F.col("n")).cast("long")))
 
     def fit(rows: pa.Table) -> pa.Table:
         x, good = unit(rows["embedding"].combine_chunks())

@@ -126,3 +126,15 @@ def test_dense_places_that_only_a_leaf_shows(spark, monkeypatch):
     rows = [(k * 2, v.tolist(), 0, 5, "c") for k, v in enumerate(x.astype(np.float32))]
     rows += [(20_000 + k, rows[k][1], 0, 5, "c") for k in range(40)]
     assert recall(spark, rows, leaf=16) >= 0.9
+
+
+def test_large_leaves_under_the_sample_as_set(spark):
+    pick = np.random.default_rng(11)
+    near, apart = pick.normal(size=48) + 0.05 * pick.normal(size=(200, 48)), pick.normal(size=(200, 48))
+    rows = [(k, 1, v.tolist(), [5, 6] if k % 2 else [5]) for k, v in enumerate(np.r_[near, apart])]
+    placed = spark.createDataFrame(rows, "node long, copies long, embedding array<float>, leaves array<long>")
+    assert len(E.crowded_centres(placed, 8, E.COSINE)) == 1
+    got = {r.node: r for r in E.split_large(placed, 8, 1).collect()}
+    assert [(r.node, r.copies, r.embedding) for _, r in sorted(got.items())] == [(r.node, r.copies, r.embedding) for r in placed.orderBy("node").collect()]
+    sizes = np.unique([i for r in got.values() for i in r.leaves], return_counts=True)[1]
+    assert all(r.leaves for r in got.values()) and sizes.max() <= 32
